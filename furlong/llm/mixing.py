@@ -167,9 +167,9 @@ water AS (SELECT arg_min(level, CAST(3 * source_size AS DOUBLE) / w) AS water_le
 targeted AS (SELECT source, n, source_size, CASE WHEN water_level IS NULL THEN CAST(3 * source_size AS DOUBLE) ELSE least(CAST(3 * source_size AS DOUBLE), water_level * w) END AS target FROM leveled, water),
 placed AS (
   SELECT doc_id, t.source, size, source_size, target, CAST(floor(target) AS BIGINT) AS quota,
-         CAST(coalesce(sum(size) OVER (PARTITION BY n ORDER BY md5('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS at
+         CAST(coalesce(sum(size) OVER (PARTITION BY n ORDER BY md5('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS begins
   FROM sized s JOIN targeted t ON s.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, source, size, source_size, target,
-       CASE WHEN size = 0 THEN 0 ELSE CAST((quota // source_size) * size + greatest(0, least(at + size, quota % source_size) - at) AS BIGINT) END AS taken
+       CASE WHEN size = 0 THEN 0 ELSE CAST((quota // source_size) * size + greatest(0, least(begins + size, quota % source_size) - begins) AS BIGINT) END AS taken
 FROM placed
 """
