@@ -1,6 +1,6 @@
 """Toxicity: a counterfactual-regularised linear classifier.
 
-A logistic model over the words of a text. For every labelled sentence that names
+A logistic model over the words of a text and their beginnings. For every labelled sentence that names
 a group, a counterfactual is made by swapping the group's term for another of its
 kind; training penalises the squared change of the score, so that the mention of
 a group by itself does not move it.
@@ -16,6 +16,7 @@ are read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -27,15 +28,15 @@ from furlong.session import cut
 
 #: Most labelled documents that the model is fitted on; a hash of the id picks them.
 MAX_TRAIN = 20_000
-#: Most words of the model, those that go furthest with the label; each must reach this chi-squared statistic.
+#: Most features of the model, those that go furthest with the label; each must reach this chi-squared statistic.
 MAX_WORDS = 300
-MIN_CHI2 = 12.0
+MIN_CHI2 = 15.0
 MIN_DOCS = 3
 #: Sentences that name a group, for counterfactuals, of all training documents together.
 MAX_PAIRS = 20_000
 #: Weight of the penalty on score changes and of the squared weights.
 LAMBDA = 1.0
-RIDGE = 1.0
+RIDGE = 0.3
 THRESHOLD = 0.3
 
 #: Terms that name groups of people, by kind; a counterfactual takes the next term of its kind.
@@ -48,6 +49,9 @@ IDENTITY = {
 }
 SWAP = {term: terms[(i + 1) % len(terms)] for terms in IDENTITY.values() for i, term in enumerate(terms)}
 
+#: Lengths of the beginnings of words that are features, too; they catch inflected and compound forms.
+PREFIXES = (4, 5, 6)
+
 WORD = re.compile(r"[^\W_]+")
 SENTENCE = re.compile(r"[.!?\n]+")
 
@@ -56,6 +60,11 @@ def words_of(text: str | None) -> set[str]:
     return set(WORD.findall(text.lower())) if text else set()
 
 
+def features(words: set[str]) -> set[str]:
+    """The words, and the beginnings (marked by ^) of those that are longer."""
+    return words | {f"^{w[:k]}" for k in PREFIXES for w in words if len(w) > k}
+
+
 def counterfactual(words: set[str]) -> set[str]:
     """The words with each term that names a group swapped for the next of its kind."""
     return {SWAP.get(w, w) for w in words}
@@ -66,8 +75,7 @@ class ToxicityModel:
         self.weights, self.bias = dict(zip(words, map(float, weights), strict=True)), float(bias)
 
     def score(self, text: str | None) -> float:
-        get = self.weights.get
-        total = self.bias + sum(sorted(get(w, 0.0) for w in words_of(text) if w in self.weights))
+        total = self.bias + sum(sorted(self.weights[f] for f in features(words_of(text)) & self.weights.keys()))
         return float(1 / (1 + np.exp(-np.clip(total, -30, 30))))
 
 
@@ -121,10 +129,20 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     a, df = F.col("toxic_df"), F.col("df")
     expected = df * F.lit(toxic / n)
     spread = expected * (1 - F.lit(toxic / n)) * (1 - df / F.lit(float(n))) + F.lit(1e-9)
+
+    def count(batch: pa.RecordBatch) -> dict:
+        every, bad = Counter(), Counter()
+        for label, own in zip(batch.column("label").to_pylist(), batch.column("words").to_pylist(), strict=True):
+            found = features(set(own))
+            every.update(found)
+            if label:
+                bad.update(found)
+        return {"word": pa.array(every.keys(), pa.string()), "df": pa.array(every.values(), pa.float64()), "toxic_df": pa.array([float(bad[w]) for w in every], pa.float64())}
+
     chosen = (
-        rows.select("label", F.explode("words").alias("word"))
+        map_rows(rows.select("label", "words"), count, "word string, df double, toxic_df double")
         .groupBy("word")
-        .agg(F.count("*").cast("double").alias("df"), F.sum("label").cast("double").alias("toxic_df"))
+        .agg(F.sum("df").alias("df"), F.sum("toxic_df").alias("toxic_df"))
         .where(F.col("df") >= MIN_DOCS)
         .withColumn("chi2", (a - expected) * (a - expected) / spread)
         .where(F.col("chi2") >= MIN_CHI2)
@@ -135,14 +153,14 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     place = {w: i for i, w in enumerate(words)}
 
     def sparse(batch: pa.RecordBatch) -> dict:
-        own = [[place[w] for w in x if w in place] for x in batch.column("words").to_pylist()]
+        own = [[place[w] for w in features(set(x)) if w in place] for x in batch.column("words").to_pylist()]
         return {"label": batch.column("label"), "own": pa.array(own, pa.list_(pa.int32()))}
 
     found = [(r["label"], list(r["own"])) for r in map_rows(rows.select("label", "words"), sparse, "label int, own array<int>").collect()]
     pairs = []
     for r in rows.select(F.explode("sentences").alias("s")).limit(MAX_PAIRS).collect():
-        before = set(r["s"])
-        pairs.append(([place[w] for w in before if w in place], [place[w] for w in counterfactual(before) if w in place]))
+        before, after = features(set(r["s"])), features(counterfactual(set(r["s"])))
+        pairs.append(([place[w] for w in before if w in place], [place[w] for w in after if w in place]))
     found.sort()
     # One bare pair for each term keeps groups alike that no labelled sentence names.
     pairs += [([place[a]], [place[b]]) for a, b in SWAP.items()]
