@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from furlong.functions.scalars import nfkc
+from furlong.session import cut
 
 # Additions of the older source's names, and names that no rule finds.
 SUFFIXES = (r"\*$", r"・(?:牝|父|市|若|九|重|[1-3]勝)$", r"(?<=[^0-9])(?:500|900|1000|1500|1600)$", r"J?G[123]$", r"\(L\)$")
@@ -24,9 +25,6 @@ OVERRIDES = {
     "WASJ第3": "ワールドオールスタージョッキーズ第3戦",
     "WASJ第4": "ワールドオールスタージョッキーズ第4戦",
 }
-#: Additions that one name can carry at most; each round takes off at most one of each.
-ROUNDS = 6
-
 
 def plain_name(column: Column) -> Column:
     """A modern name without its number and class; its long last word short."""
@@ -35,26 +33,15 @@ def plain_name(column: Column) -> Column:
     return F.when(column != "", F.when(text != "", text).otherwise(F.trim(column)))
 
 
-def strip_suffixes(column: Column, patterns: tuple[str, ...], rounds: int = ROUNDS) -> Column:
-    """Take the patterns off the end again and again, never to the empty string."""
-    for _ in range(rounds):
-        for pattern in patterns:
-            bare = F.regexp_replace(column, pattern, "")
-            column = F.when(bare != "", bare).otherwise(column)
-    return column
-
+def strip_suffixes(column: Column, patterns: tuple[str, ...]) -> Column:
+    """Take the patterns off the end as long as one fits, never to the empty string: one trailing run of them, behind some first character."""
+    run = "|".join(p.removesuffix("$") for p in patterns)
+    return F.regexp_replace(column, f"(?<=.)(?:{run})+$", "")
 
-def strip_all(rows: DataFrame, column: str, handicap: Column, out: str) -> DataFrame:
-    """``out``: the column without additions; the handicap mark goes only where ``handicap`` holds.
 
-    Round by round in columns of their own, so that expressions stay small.
-    """
-    df = rows.withColumn(out, F.trim(nfkc(F.coalesce(F.col(column), F.lit("")))))
-    for _ in range(ROUNDS):
-        step = strip_suffixes(F.col(out), SUFFIXES, 1)
-        bare = F.regexp_replace(step, HANDICAP_SUFFIX, "")
-        df = df.withColumn(out, F.when(handicap & (bare != ""), bare).otherwise(step))
-    return df
+def strip_all(column: Column, handicap: Column) -> Column:
+    """A name without its additions; the handicap mark is one only where ``handicap`` holds. Expects normalised text."""
+    return F.when(handicap, strip_suffixes(column, (*SUFFIXES, HANDICAP_SUFFIX))).otherwise(strip_suffixes(column, SUFFIXES))
 
 
 def generic_name(short: Column, age: Column, class_condition: Column, surface: Column) -> Column:
@@ -107,13 +94,16 @@ def canonical_names(rows: DataFrame, modern: DataFrame) -> DataFrame:
     surface, grade. ``modern``: venue_code, surface, grade, name.
     """
     pool = modern.where("name is not null").withColumn("name", nfkc(F.col("name"))).withColumn("name_key", compare_key(F.col("name")))
-    base = strip_all(rows, "short", F.coalesce(F.col("handicap"), F.lit(False)), "base")
+    base = rows.withColumn("text", F.trim(nfkc(F.coalesce(F.col("short"), F.lit("")))))
+    base = base.withColumn("base", strip_all(F.col("text"), F.coalesce(F.col("handicap"), F.lit(False))))
     base = base.withColumn("expanded", expand(F.col("base"), F.col("surface"))).withColumn("no_mark", F.when(~F.coalesce(F.col("handicap"), F.lit(False)) & F.col("base").endswith("H"), F.regexp_replace("base", "H$", "")))
-    fixed = F.coalesce(generic_name(F.col("base"), F.col("age_condition"), F.col("class_condition"), F.col("surface")))
+    fixed = generic_name(F.col("base"), F.col("age_condition"), F.col("class_condition"), F.col("surface"))
     base = base.withColumn("generic", fixed).withColumn("override", override(F.col("base")))
+    # Each search below reads these rows again; without a cut, so would the plans that made them.
+    base = cut(base)
     for column in ("expanded", "base", "no_mark"):
         found = _staged(base.where("generic is null and override is null"), pool, column)
-        base = base.join(found.select("row", F.col("match").alias(f"by_{column}")), "row", "left")
+        base = cut(base.join(found.select("row", F.col("match").alias(f"by_{column}")), "row", "left"))
     matched = F.coalesce("by_expanded", "by_base", "by_no_mark")
     name = F.coalesce("generic", "override", matched, "expanded")
     how = F.when(F.col("generic").isNotNull(), "generic").when(F.col("override").isNotNull(), "override").when(matched.isNotNull(), "matched").otherwise("stripped")

@@ -18,7 +18,7 @@ Policy = str | Callable[[Column, Column], Column]
 
 def blank(column: Column) -> Column:
     """Missing: null or the empty string."""
-    return column.isNull() | (column == "")
+    return column.isNull() | (column.cast("string") == "")
 
 
 POLICIES: dict[str, Callable[[Column, Column], Column]] = {

@@ -566,20 +566,21 @@ def lenient_cast(t: Tables) -> DataFrame:
     return t.events.select("event_id", scalars.to_int(raw).alias("n"))
 
 
-def _strip_sql(column: str, patterns: tuple[str, ...], rounds: int) -> str:
-    for _ in range(rounds):
-        for p in patterns:
-            column = f"coalesce(nullif(regexp_replace({column}, '{p}', ''), ''), {column})"
-    return column
+def _strip_sql(source: str, patterns: tuple[str, ...], rounds: int) -> str:
+    """One CTE for each pattern and round."""
+    ctes = [f"x0 AS ({source})"]
+    for i, p in enumerate(patterns * rounds):
+        ctes.append(f"x{i + 1} AS (SELECT raw, coalesce(nullif(regexp_replace(bare, '{p}', ''), ''), bare) AS bare FROM x{i})")
+    return f"WITH {', '.join(ctes)} SELECT raw, bare FROM x{len(ctes) - 1}"
 
 
-@query("WITH x AS (SELECT DISTINCT p_name || ' ' || p_brand || '*' AS raw FROM part), " + ", ".join(f"x{i} AS (SELECT raw, coalesce(nullif(regexp_replace({'raw' if i == 0 else 'bare'}, '{p}', ''), ''), {'raw' if i == 0 else 'bare'}) AS bare FROM {'x' if i == 0 else f'x{i - 1}'})" for i, p in enumerate((r"\*$", "[0-9]$", "Brand#$", " $") * 3)) + " SELECT raw, bare FROM x11")
+ADDITIONS = (r"\*$", "[0-9]$", "Brand#$", " $")
+
+
+@query(_strip_sql("SELECT DISTINCT p_name || ' ' || p_brand || '*' AS raw, p_name || ' ' || p_brand || '*' AS bare FROM part", ADDITIONS, 3))
 def strip_suffix_fixpoint(t: Tables) -> DataFrame:
     rows = t.part.select(F.concat("p_name", F.lit(" "), "p_brand", F.lit("*")).alias("raw")).distinct()
-    rows = rows.withColumn("bare", F.col("raw"))
-    for _ in range(3):
-        rows = rows.withColumn("bare", names.strip_suffixes(F.col("bare"), (r"\*$", "[0-9]$", "Brand#$", " $"), 1))
-    return rows
+    return rows.withColumn("bare", names.strip_suffixes(F.col("raw"), ADDITIONS))
 
 
 @query(r"SELECT doc_id, CAST(length(x) AS BIGINT) AS n, md5(x) AS digest FROM (SELECT doc_id, trim(regexp_replace(text, '[\s\x{0B}\x{85}\p{Z}]+', ' ', 'g'), ' ') AS x FROM documents)")
