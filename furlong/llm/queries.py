@@ -46,7 +46,7 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.report(table(spark, sf_dir, "pages"))
+    return warc.report(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,5 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES = {
     "op1_decontamination": decontamination.ORACLE,
     "op5_line_dedup": line_dedup.ORACLE,
+    "op6_embedding_dedup": embeddings.ORACLE,
+    "op7_warc": warc.ORACLE,
     "op10_mixing": mixing.ORACLE,
 }

@@ -380,10 +380,19 @@ def report(pages: DataFrame, **options) -> DataFrame:
     return found.join(merged, ["file", "offset"]).select("page_id", F.col("size").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", "refers_to", "url_key", "capture_no")
 
 
-ORACLE = r"""
-WITH sized AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+def _base32_sql(digest: str) -> str:
+    """Base32 of a hexadecimal SHA-1: each five digits make four characters."""
+    chunks = []
+    for i in range(8):
+        value = f"CAST('0x' || substr({digest}, {5 * i + 1}, 5) AS INTEGER)"
+        chunks += [f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (({value} >> {shift}) & 31) + 1, 1)" for shift in (15, 10, 5, 0)]
+    return " || ".join(chunks)
+
+
+ORACLE = f"""
+WITH sized AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS digest FROM pages),
 firsts AS (SELECT html, min(page_id) AS first_id FROM sized GROUP BY html)
-SELECT page_id, CAST(strlen(s.html) AS BIGINT) AS payload_bytes, sha1(s.html) AS payload_sha1,
+SELECT page_id, CAST(strlen(s.html) AS BIGINT) AS payload_bytes, {_base32_sql("digest")} AS payload_digest,
        CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM sized s JOIN firsts USING (html)
