@@ -12,11 +12,11 @@ def fields(rows: DataFrame, column: str, schema: str, keep: list[str]) -> DataFr
 
 
 #: The shape of the course condition feed.
-COURSE_SCHEMA = "kaisai_info array<struct<ymd string, place_code string, weather string, turf string, dirt string, announced string>>"
+COURSE_SCHEMA = "kaisai_info array<struct<jyoname string, kaisai_ymd string, weather string, ba_s string, ba_d string>>"
 
 
 def course_conditions(rows: DataFrame, column: str = "text", key: str | None = None) -> DataFrame:
-    """A row for each venue: ``race_date, venue_code, weather, going_turf, going_dirt``.
+    """A row for each venue: ``race_date, venue_name, weather, going_turf, going_dirt``.
 
     Entries whose date is not of eight characters, or without a venue, are left
     out; blank values are null.
@@ -24,6 +24,6 @@ def course_conditions(rows: DataFrame, column: str = "text", key: str | None = N
     keep = [key] if key else []
     entries = rows.select(*keep, F.explode(F.from_json(column, COURSE_SCHEMA)["kaisai_info"]).alias("e")).select(*keep, "e.*")
     tidy = lambda c: F.nullif(F.trim(F.col(c)), F.lit(""))
-    good = entries.where((F.length("ymd") == 8) & (F.coalesce(F.trim("place_code"), F.lit("")) != ""))
-    date = F.concat_ws("-", F.substring("ymd", 1, 4), F.substring("ymd", 5, 2), F.substring("ymd", 7, 2))
-    return good.select(*keep, date.alias("race_date"), F.lpad(F.trim("place_code"), 2, "0").alias("venue_code"), tidy("weather").alias("weather"), tidy("turf").alias("going_turf"), tidy("dirt").alias("going_dirt"))
+    good = entries.where((F.length("kaisai_ymd") == 8) & tidy("jyoname").isNotNull())
+    date = F.concat_ws("-", F.substring("kaisai_ymd", 1, 4), F.substring("kaisai_ymd", 5, 2), F.substring("kaisai_ymd", 7, 2))
+    return good.select(*keep, date.alias("race_date"), tidy("jyoname").alias("venue_name"), tidy("weather").alias("weather"), tidy("ba_s").alias("going_turf"), tidy("ba_d").alias("going_dirt"))
