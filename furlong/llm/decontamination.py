@@ -18,7 +18,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from furlong.llm.common import keep_rows, map_rows, small_batches, utf8
@@ -88,11 +88,15 @@ class NgramIndex:
         return hit, items
 
 
+def _blocks(rows: DataFrame) -> int:
+    n_bytes = rows.agg(F.sum(F.length("t"))).first()[0] or 0
+    return max(1, math.ceil(n_bytes / 4 / MAX_INDEX_WORDS))
+
+
 def _indexes(spark, benchmark: DataFrame, item_id: str, text: str, window: int):
     """Broadcast indexes that together hold every item, each of a bounded number of words."""
     rows = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(text).cast("binary").alias("t"))
-    n_bytes = rows.agg(F.sum(F.length("t"))).first()[0] or 0
-    blocks = max(1, math.ceil(n_bytes / 4 / MAX_INDEX_WORDS))
+    blocks = _blocks(rows)
     for block in range(blocks):
         part = rows if blocks == 1 else rows.where(F.pmod(F.xxhash64("t", "i"), F.lit(blocks)) == block)
         yield spark.sparkContext.broadcast(NgramIndex([(r["i"], bytes(r["t"]) if r["t"] is not None else None) for r in part.toLocalIterator()], window))
@@ -139,6 +143,10 @@ def is_contaminated(n_words, n_hit):
     return n_hit > 0 and 20 * n_hit >= n_words
 
 
+def is_contaminated_column(n_words: Column, n_hit: Column) -> Column:
+    return (n_hit > 0) & (20 * n_hit >= n_words)
+
+
 def report(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
     """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` of every document."""
 
@@ -162,10 +170,12 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     """``docs`` without its contaminated documents; all columns stay as they are."""
     spark = docs.sparkSession
     small_batches(spark)
-    indexes = list(_indexes(spark, benchmark, item_id, item_text, window))
-    if len(indexes) > 1:
-        raise ValueError("the benchmark needs more than one broadcast block; use scan()")
-    index = indexes[0]
+    if _blocks(benchmark.select(F.col(item_text).cast("binary").alias("t"))) > 1:
+        packed = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"))
+        found = scan(packed, benchmark, "row", "text", item_id, item_text, window)
+        n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["after"] - s["first"])
+        return found.where(~is_contaminated_column(F.col("n_words"), n_hit)).select("doc_id.*")
+    (index,) = _indexes(spark, benchmark, item_id, item_text, window)
 
     def keep(batch: pa.RecordBatch) -> list[bool]:
         out = []

@@ -47,7 +47,7 @@ def key(row):
 
 
 def rows(df, *columns):
-    return sorted((tuple(r) for r in df.select(*columns).collect()), key=key)
+    return sorted((tuple(r) for r in df.select(*columns or df.columns).collect()), key=key)
 
 
 # 1
@@ -97,8 +97,10 @@ def test_decontamination_in_blocks(docs, spark, monkeypatch):
     text = docs.where("doc_id = 4").first()["text"].split()
     benchmark = spark.createDataFrame([(i, " ".join(text[i : i + 14])) for i in range(0, 40, 5)], "item_id long, text string")
     whole = rows(decontamination.report(docs, benchmark), "doc_id", "n_hit", "n_items", "items_sha256")
+    kept = rows(decontamination.remove_documents(docs, benchmark))
     monkeypatch.setattr(decontamination, "MAX_INDEX_WORDS", 40)
     assert rows(decontamination.report(docs, benchmark), "doc_id", "n_hit", "n_items", "items_sha256") == whole
+    assert rows(decontamination.remove_documents(docs, benchmark)) == kept
 
 
 # 2
