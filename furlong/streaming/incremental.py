@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,8 +44,9 @@ def late_counts(stream: DataFrame, time: str, keys: Sequence[str], late: str = "
 def latest_snapshot_by_stream(spark: SparkSession, path: str, keys: Sequence[str], order: str, tie: str, target: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """The last row of each key of all files of ``path``, kept as a table that each micro-batch rewrites.
 
-    A batch writes a new version and the pointer to it last, so a batch that runs
-    again after a failure replaces its own version.
+    A batch merges into the version of the batch before it and writes its own, so
+    one that runs again after a failure, or in a later call with the same
+    checkpoint, neither loses nor doubles rows.
     """
     base = target or shared_folder(spark, "snapshot")
     schema = spark.read.parquet(path).schema
@@ -54,16 +56,16 @@ def latest_snapshot_by_stream(spark: SparkSession, path: str, keys: Sequence[str
     single = len(listed) == 1 and listed[0]["path"].rstrip("/").endswith(name)
     reader = spark.readStream.schema(schema)
     stream = reader.option("pathGlobFilter", name).parquet(folder) if single else reader.parquet(path)
-    seen: dict[str, str] = {}
 
     def merge(batch: DataFrame, number: int) -> None:
-        rows = batch if "table" not in seen else batch.unionByName(batch.sparkSession.read.parquet(seen["table"]))
-        version = f"{base}/{number:09d}"
-        latest_by(rows, keys, [F.desc(order), F.asc(tie)]).write.mode("overwrite").parquet(version)
-        seen["table"] = version
+        rows = batch if number == 0 else batch.unionByName(batch.sparkSession.read.parquet(f"{base}/{number - 1:09d}"))
+        latest_by(rows, keys, [F.desc(order), F.asc(tie)]).write.mode("overwrite").parquet(f"{base}/{number:09d}")
 
     run = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint or f"{base}-state").trigger(availableNow=True).start()
     run.awaitTermination()
-    if "table" not in seen:
-        return spark.createDataFrame([], schema)
-    return spark.read.parquet(seen["table"])
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    try:
+        last = files.load(base).agg(F.max(F.regexp_extract("path", "/([0-9]{9})/[^/]*$", 1))).first()[0]
+    except AnalysisException:  # no batch has run: there was no input
+        last = None
+    return spark.read.parquet(f"{base}/{last}") if last else spark.createDataFrame([], schema)

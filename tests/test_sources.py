@@ -164,3 +164,7 @@ def test_resuming(spark, tmp_path):
     spark.createDataFrame([(1, 5, "a"), (1, 7, "b"), (2, 1, "c")], "k int, t int, v string").write.parquet(str(tmp_path / "in"))
     shot = incremental.latest_snapshot_by_stream(spark, str(tmp_path / "in"), ["k"], "t", "v", str(tmp_path / "out"), str(tmp_path / "state"))
     assert sorted((r["k"], r["v"]) for r in shot.collect()) == [(1, "b"), (2, "c")]
+    spark.createDataFrame([(2, 9, "new"), (3, 1, "d")], "k int, t int, v string").write.mode("append").parquet(str(tmp_path / "in"))
+    for _ in range(2):
+        shot = incremental.latest_snapshot_by_stream(spark, str(tmp_path / "in"), ["k"], "t", "v", str(tmp_path / "out"), str(tmp_path / "state"))
+        assert sorted((r["k"], r["v"]) for r in shot.collect()) == [(1, "b"), (2, "new"), (3, "d")]
