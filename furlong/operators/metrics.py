@@ -39,25 +39,37 @@ def weighted_index(lead: DataFrame, denominators: DataFrame, entity: str, year:
     return rows.groupBy(entity).agg((own / F.nullif(average, F.lit(0.0))).alias(name))
 
 
-def midrank(value: str) -> Column:
-    """(number less + half the number equal) / number, over all rows with a value."""
-    window = Window.orderBy(value)
-    everything = Window.partitionBy()
-    return ((F.rank().over(window) - 1) / F.count("*").over(everything) + F.cume_dist().over(window)) / 2
+#: Buckets that the values of a group are ranked in.
+BUCKETS = 200
 
 
-def percentile_against(targets: DataFrame, value: str, population: DataFrame, of: str, name: str = "percentile") -> DataFrame:
-    """Mid-rank percentile of values that need not be in the population; 0.5 if that is empty.
+def midranks(counts: DataFrame, keys: list[str], value: str, count: str, name: str = "percentile") -> DataFrame:
+    """``keys, value`` and the mid-rank percentile of each distinct value: (share less + share up to it) / 2; 0.5 for a group without rows.
 
-    The population is reduced to counts of its distinct values before it is ranked.
+    ``counts`` holds how often each value comes; 0 is a value that is only asked
+    about. Approximate quantiles deal the values to buckets, in which they are
+    ranked; what lies in the buckets below comes from the buckets' totals. So a
+    group with very many values is many tasks, and the ranks are exact.
     """
-    counts = population.where(F.col(of).isNotNull()).groupBy(F.col(of).alias("v")).agg(F.count("*").alias("c"))
-    points = counts.select("v", "c", F.lit(0).alias("t")).unionByName(targets.select(F.col(value).alias("v"), F.lit(0).cast("long").alias("c"), F.lit(1).alias("t")).where("v is not null").distinct())
-    total = Window.partitionBy()
-    below = Window.orderBy("v").rangeBetween(Window.unboundedPreceding, 0)
-    ranked = points.groupBy("v").agg(F.sum("c").alias("c"), F.max("t").alias("t")).withColumn("upto", F.sum("c").over(below)).withColumn("all", F.sum("c").over(total))
-    share = F.when(F.col("all") > 0, (F.col("upto") - F.col("c") / 2) / F.col("all")).otherwise(0.5)
-    ranked = ranked.where("t = 1").select(F.col("v").alias("_v"), share.alias(name))
+    points = counts.groupBy(*keys, value).agg(F.sum(count).alias("_c"))
+    steps = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
+    bounds = points.groupBy(*keys).agg(F.percentile_approx(value, steps, 10 * BUCKETS).alias("_bounds"), F.sum("_c").alias("_all"))
+    rows = points.join(bounds, keys) if keys else points.join(F.broadcast(bounds))
+    rows = rows.withColumn("_bucket", F.size(F.filter("_bounds", lambda x: x < F.col(value)))).drop("_bounds")
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy(*keys, "_bucket").agg(F.sum("_c").alias("_t")).withColumn("_before", F.coalesce(F.sum("_t").over(before), F.lit(0))).drop("_t")
+    own = Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = rows.join(totals, [*keys, "_bucket"]).withColumn("_upto", F.col("_before") + F.sum("_c").over(own))
+    n = F.col("_all").cast("double")
+    share = F.when(F.col("_all") > 0, ((F.col("_upto") - F.col("_c")) / n + F.col("_upto") / n) / 2).otherwise(0.5)
+    return ranked.select(*keys, value, share.alias(name))
+
+
+def percentile_against(targets: DataFrame, value: str, population: DataFrame, of: str, name: str = "percentile") -> DataFrame:
+    """Mid-rank percentile of values that need not be in the population; 0.5 if that is empty."""
+    counts = population.where(F.col(of).isNotNull()).select(F.col(of).alias("_v"), F.lit(1).alias("_n"))
+    asked = targets.where(F.col(value).isNotNull()).select(F.col(value).alias("_v"), F.lit(0).alias("_n"))
+    ranked = midranks(counts.unionByName(asked), [], "_v", "_n", name)
     return targets.join(ranked, F.col(value) == F.col("_v"), "left").drop("_v")
 
 
@@ -97,7 +109,6 @@ def field_values(lead: DataFrame, denominators: DataFrame, entity_rows: DataFram
 def metrics_long(entity_rows: DataFrame, fields: DataFrame, entity: str, least: int = LEAST_UNITS) -> DataFrame:
     """``entity, metric, value, field, ratio_to_field, percentile, grade`` of the eligible entities."""
     rows = entity_rows.where(F.col("n") >= least).select(entity, F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in METRICS])).alias("x")).select(entity, "x.*").where("value is not null")
-    window, everything = Window.partitionBy("metric").orderBy("value"), Window.partitionBy("metric")
-    share = ((F.rank().over(window) - 1) / F.count("*").over(everything) + F.cume_dist().over(window)) / 2
-    out = rows.withColumn("percentile", share).join(F.broadcast(fields), "metric", "left")
+    ranked = midranks(rows.select("metric", "value", F.lit(1).alias("_n")), ["metric"], "value", "_n")
+    out = rows.join(ranked, ["metric", "value"]).join(F.broadcast(fields), "metric", "left")
     return out.withColumn("ratio_to_field", ratio(F.col("value"), F.col("field"))).withColumn("grade", grade(F.col("percentile")))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from furlong.functions import ids, names, scalars, vocab
 from furlong.operators import components, coverage, latest, lineage, match, metrics, resolve, upsert
+from furlong.session import cut
 from furlong.sources import html, jsons
 from furlong.streaming import incremental
 
@@ -453,6 +454,8 @@ def _lead(t: Tables) -> tuple[DataFrame, DataFrame]:
     mean = base.groupBy("yr").agg((F.sum("amount").cast("double") / F.sum("n")).alias("m"))
     per_unit = F.col("amount").cast("double") / F.col("n")
     lead = base.join(F.broadcast(mean), "yr").withColumn("per_unit", per_unit).withColumn("idx", F.round(per_unit / F.col("m"), 2)).drop("m")
+    # A row for each entity and year; everything below reads it several times.
+    lead = cut(lead)
     return lead, metrics.field_denominators(lead, ["yr"])
 
 
@@ -484,7 +487,7 @@ pct AS (SELECT entity, aei, (CAST(rank() OVER (ORDER BY aei) - 1 AS DOUBLE) / co
 SELECT entity, round(aei, 6) AS aei, round(p, 6) AS percentile, least(9, CAST(floor(p * 9) AS INT) + 1) AS grade FROM pct""")
 def midrank_grade(t: Tables) -> DataFrame:
     lead, denominators = _lead(t)
-    rows = metrics.entity_totals(lead, denominators, "entity", "yr").where("n >= 20").select("entity", "aei")
+    rows = cut(metrics.entity_totals(lead, denominators, "entity", "yr").where("n >= 20").select("entity", "aei"))
     ranked = metrics.percentile_against(rows, "aei", rows, "aei")
     return ranked.select("entity", F.round("aei", 6).alias("aei"), F.round("percentile", 6).alias("percentile"), metrics.grade(F.col("percentile")).alias("grade"))
 
@@ -496,7 +499,7 @@ pct AS (SELECT *, (CAST(rank() OVER (PARTITION BY metric ORDER BY value) - 1 AS
 SELECT entity, metric, round(value, 6) AS value, round(value / field, 6) AS ratio_to_field, round(p, 6) AS percentile, least(9, CAST(floor(p * 9) AS INT) + 1) AS grade FROM pct JOIN fields USING (metric)""")
 def entity_metrics_long(t: Tables) -> DataFrame:
     lead, denominators = _lead(t)
-    rows = metrics.entity_totals(lead, denominators, "entity", "yr")
+    rows = cut(metrics.entity_totals(lead, denominators, "entity", "yr"))
     out = metrics.metrics_long(rows, metrics.field_values(lead, denominators, rows, "yr"), "entity")
     return out.select("entity", "metric", *[F.round(c, 6).alias(c) for c in ("value", "ratio_to_field", "percentile")], "grade")
 
