@@ -14,6 +14,7 @@ file. Only the named columns are read.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -25,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from furlong.llm.common import map_rows, small_batches
+from furlong.llm.common import map_rows, small_batches, utf8
 from furlong.llm.storage import Writer, reader
 from furlong.session import cut, shared_folder
 
@@ -36,8 +37,8 @@ FRAME_IDS = 1 << 18
 LEVEL = 3
 #: Documents of one file, about.
 FILE_DOCS = 50_000
-#: Pieces of text whose ids a worker remembers.
-MEMORY = 200_000
+#: Pieces of text whose ids a worker remembers, in each of two generations.
+MEMORY = 500_000
 
 #: Fixed values of the seekable format: the skippable frames' magic numbers and the footer's.
 LIST_MAGIC, TABLE_MAGIC, FOOTER_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -48,30 +49,63 @@ class Encoder:
     """Encodes whole texts, remembering the ids of the pieces between spaces.
 
     The tokenizer drops white space and never joins across it, so the ids of a
-    text are those of its pieces one after the other.
+    text are those of its pieces one after the other. It lower-cases, and a full
+    stop or comma that stands alone after a letter is a token of its own, so texts
+    are brought to that form first. New pieces of letters alone are encoded many
+    at a time: each is one word, and a word's last token is marked in the
+    vocabulary.
     """
 
+    STOP = re.compile(rb"(?<=[a-z])([.,])(?=[ \n]|$)")
+    #: New words encoded as one text.
+    JOINED = 200
+
     def __init__(self, name: str = TOKENIZER):
         import public_tokenizers
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids as little-endian unsigned 32-bit integers, the end id not included."""
-        split = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        if len(self.known) > MEMORY:
-            self.known.clear()
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        # Two generations: when the younger is full, it becomes the elder and the elder goes.
+        self.known: dict[bytes, bytes] = {}
+        self.elder: dict[bytes, bytes] = {}
+
+    def _one_by_one(self, pieces: list[str]) -> list[bytes]:
+        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        joined = [" ".join(words[i : i + self.JOINED]) for i in range(0, len(words), self.JOINED)]
+        ids = np.concatenate([np.zeros(0, "<u4"), *(np.array(x.ids, "<u4") for x in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False))])
+        ends = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+        if len(ends) != len(words):
+            return self._one_by_one(words)
+        data, starts = ids.astype("<u4").tobytes(), [0, *ends[:-1].tolist()]
+        return [data[a:b] for a, b in zip(starts, ends.tolist(), strict=True)]
+
+    def _learn(self, pieces: set[bytes]) -> None:
+        words, others = [], []
+        for piece in pieces:
+            if piece in self.elder:
+                self.known[piece] = self.elder[piece]
+            else:
+                text = piece.decode()
+                (words if text.isalpha() else others).append((piece, text))
+        for some, encode in ((words, self._words), (others, self._one_by_one)):
+            if some:
+                keys, texts = zip(*some, strict=True)
+                self.known.update(zip(keys, encode(list(texts)), strict=True))
+
+    def encode(self, texts: list[bytes | None]) -> list[bytes]:
+        """Ids of UTF-8 texts as little-endian unsigned 32-bit integers, the end id not included."""
+        split = [self.STOP.sub(rb" \1", t.lower()).replace(b"\n", b" ").split(b" ") if t else [] for t in texts]
+        self._learn(set().union(*split) - self.known.keys())
         known = self.known
-        new = list({p for pieces in split for p in pieces if p not in known})
-        for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[piece] = np.array(found.ids, "<u4").tobytes()
-        out = [b"".join([known[p] for p in pieces]) for pieces in split]
-        for piece in new:
-            if len(piece) > 100:
-                del known[piece]
+        out = [b"".join([known[p] for p in own]) for own in split]
+        if len(known) > MEMORY:
+            self.elder, self.known = {k: v for k, v in known.items() if len(k) <= 100}, {}
         return out
 
 
@@ -157,7 +191,7 @@ def write(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str = "tex
 
     def tokenize(batch: pa.RecordBatch) -> dict:
         tail = struct.pack("<I", end_id)
-        found = [ids + tail for ids in encoder(tokenizer).encode(batch.column("text").to_pylist())]
+        found = [ids + tail for ids in encoder(tokenizer).encode(utf8(batch.column("text")))]
         frames = [frames_of(ids) for ids in found]
         return {
             "doc_id": batch.column("doc_id"),
