@@ -79,7 +79,8 @@ def _running(rows: DataFrame, cell: str, order: list, value, name: str) -> DataF
     earlier = Window.partitionBy("n").orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
     totals = rows.groupBy("n", cell).agg(F.sum(value).alias("total"))
     totals = totals.select("n", cell, F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("cells_before"))
-    return rows.join(totals, ["n", cell]).withColumn(name, F.col("cells_before") + F.coalesce(F.sum(value).over(own), F.lit(0))).drop("cells_before")
+    # The totals grow with the data, whatever the planner makes of them: they are not to be broadcast.
+    return rows.join(totals.hint("merge"), ["n", cell]).withColumn(name, F.col("cells_before") + F.coalesce(F.sum(value).over(own), F.lit(0))).drop("cells_before")
 
 
 def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", block: int = BLOCK, seed: str = SEED) -> Mix:
@@ -129,7 +130,7 @@ def taken(mix: Mix, block: int = BLOCK) -> DataFrame:
     sizes = F.broadcast(sizes) if few else sizes
     slots = mix.slots.join(sizes.select("n", "source_size"), "n").withColumn("whole", F.col("words") == whole)
     takes = slots.groupBy("n", "block").agg(F.sum(F.col("whole").cast("long")).alias("times"), F.coalesce(F.max(F.when(~F.col("whole"), F.col("words"))), F.lit(0)).alias("cut"))
-    pieces = blocks_of(mix.docs, block).join(takes, ["n", "block"], "left")
+    pieces = blocks_of(mix.docs, block).join(takes.hint("merge"), ["n", "block"], "left")
     own = F.coalesce(F.col("times"), F.lit(0)) * (F.col("after") - F.col("first")) + F.greatest(F.lit(0), F.least(F.col("after"), F.coalesce(F.col("cut"), F.lit(0))) - F.col("first"))
     found = pieces.withColumn("own", own).groupBy("n", "at", "doc_id", "size").agg(F.sum("own").alias("taken"))
     none = mix.docs.where("size = 0").select("n", "at", "doc_id", "size", F.lit(0).cast("long").alias("taken"))
@@ -150,6 +151,7 @@ def repeat_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     """
     copies = F.when(F.col("size") == 0, 1).otherwise(F.ceil(F.col("taken") / F.col("size"))).cast("int")
     counts = mix(docs, doc_id, text, source).groupBy(F.col("doc_id").alias("mix_id")).agg(F.max(copies).alias("mix_copies")).where("mix_copies > 0")
+    counts = counts.hint("shuffle_hash")
     rows = docs.join(counts, docs[doc_id].eqNullSafe(counts["mix_id"]))
     return rows.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), counts["mix_copies"])).alias("mix_nth")).drop("mix_nth")
 
