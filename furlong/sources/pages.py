@@ -538,6 +538,9 @@ def trainer_profile(page: Element, known: dict) -> Rows:
 
 ACTION = re.compile(r"doAction\(\s*'/JRADB/access[A-Z]+\.html[^']*'\s*,\s*'([^']+)'\s*\)")
 
+#: The end of a token: venue, year, meeting, day, race number if it has one, and a date of that year.
+PLACE = re.compile(r"(?P<venue>\d{2})(?P<year>\d{4})(?P<meeting>\d{2})(?P<day>\d{2})(?P<race>\d{2})?(?P<date>(?P=year)\d{4})(?:Z\d*)?/[0-9A-Za-z]{2}$")
+
 
 def tokens(page: Element, known: dict) -> Rows:
     """Tokens of script links that hold ``marker``, with their labels; those of meetings with place and day, read from the right."""
@@ -545,13 +548,12 @@ def tokens(page: Element, known: dict) -> Rows:
         found = ACTION.search(a.get("onclick") or "") or re.search(r"CNAME=([^\"'&\s]+)", a.get("href") or "")
         if not found or known.get("marker", "") not in found[1]:
             continue
-        tail = re.search(r"(\d{2})(\d{4})(\d{2})(\d{2})(\d{2})?(\d{8})(?:Z\d*)?/[0-9A-Za-z]{2}$", found[1])
         place = {}
-        if tail and "01" <= tail[1] <= "10":
-            d = tail[6]
-            place = {"venue_code": tail[1], "meeting": int(tail[3]), "day": int(tail[4]), "race_no": tail[5] and int(tail[5]), "date": f"{d[:4]}-{d[4:6]}-{d[6:]}"}
-            if tail[5]:
-                place["race_id"] = f"{tail[2]}{tail[1]}{tail[3]}{tail[4]}{tail[5]}"
+        if (tail := PLACE.search(found[1])) and "01" <= tail["venue"] <= "10":
+            day = tail["date"]
+            place = {"venue_code": tail["venue"], "meeting": int(tail["meeting"]), "day": int(tail["day"]), "date": f"{day[:4]}-{day[4:6]}-{day[6:]}"}
+            if race := tail["race"]:
+                place |= {"race_no": int(race), "race_id": f"{day[:4]}{tail['venue']}{tail['meeting']}{tail['day']}{race}"}
         yield "tokens", {"n": n, "token": found[1], "label": a.text() or None, **place}
 
 
