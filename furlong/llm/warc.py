@@ -377,7 +377,8 @@ def report(pages: DataFrame, **options) -> DataFrame:
     merged = histories(merge_runs(runs, folder)).select("file", "offset", "url_key", "capture_no")
     archives = runs.select(F.concat(F.lit(f"{folder}/archive/"), F.lpad(F.col("run").cast("string"), 6, "0"), F.lit(".warc.gz")).alias("file"))
     found = read_archives(archives).drop("html", "url")
-    return found.join(merged, ["file", "offset"]).select("page_id", F.col("size").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", "refers_to", "url_key", "capture_no")
+    # Both sides grow with the collection; what they are made from is small, so the planner would take them to be small.
+    return found.join(merged.hint("merge"), ["file", "offset"]).select("page_id", F.col("size").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", "refers_to", "url_key", "capture_no")
 
 
 def _base32_sql(digest: str) -> str:
