@@ -55,10 +55,14 @@ HEADER = re.compile(rb"([^:\r\n]+): ?([^\r\n]*)\r\n")
 def url_key(url: str | None) -> str:
     """The host's labels reversed, then path and query in lower case; scheme, ``www.``, port and fragment go."""
     url = url or ""
-    parts = urlsplit(url) if "://" in url else None
-    if not parts or not parts.hostname:
+    try:
+        parts = urlsplit(url) if "://" in url else None
+        name = parts.hostname if parts else None
+    except ValueError:  # no URL, such as one with half of an IPv6 address
+        name = None
+    if not name:
         return url.lower()
-    host = parts.hostname.removeprefix("www.").split(".")
+    host = name.removeprefix("www.").split(".")
     query = "?" + "&".join(sorted(parts.query.lower().split("&"))) if parts.query else ""
     return ",".join(reversed(host)) + ")" + (parts.path.lower().rstrip("/") or "/") + query
 

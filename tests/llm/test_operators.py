@@ -323,7 +323,7 @@ def test_embeddings(spark, cell, block_dims):
 
 def test_warc(spark):
     pages = [(i, f"http://{'www.' if i % 2 else ''}host{i % 5}.example.com/p{i % 40}?b=1&a={i}", f"<p>{i % 30}</p>é") for i in range(300)]
-    pages += [(900, None, None), (901, "", ""), (902, "nowhere", None), (903, "http://a.example/ü\nx", "<x>" * 50_000), (5, pages[5][1], pages[5][2]), (None, "http://a.example/", "<p>only</p>")]
+    pages += [(900, None, None), (901, "", ""), (902, "nowhere", None), (904, "http://[::1/x", "y"), (903, "http://a.example/ü\nx", "<x>" * 50_000), (5, pages[5][1], pages[5][2]), (None, "http://a.example/", "<p>only</p>")]
     df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(7)
     first = {}
     for i, _, h in pages:
