@@ -120,7 +120,7 @@ def fill_blanks(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], c
             new = extra[name]
         elif name not in keys and name not in columns:
             new = F.lit(None)
-        kept = F.when(fills[name], new).otherwise(old) if name in fills else old
+        kept = F.when(fills[name], F.col(f"new.{name}")).otherwise(old) if name in fills else old
         out.append(F.when(has_old, kept).otherwise(new).cast(existing.schema[name].dataType).alias(name))
     key = F.concat_ws("|", *[F.col(f"old.{k}").cast("string") for k in keys])
     cells = F.explode(F.array_compact(F.array(*[F.when(v, F.lit(c)) for c, v in fills.items()])))
