@@ -651,29 +651,50 @@ paths AS (SELECT a.node AS id, b.node AS ancestor, translate(substr(lpad(CAST(bi
   FROM part_tree a JOIN part_tree b ON b.node > a.node AND b.node >> CAST(floor(log2(b.node)) - floor(log2(a.node)) AS INT) = a.node AND floor(log2(b.node)) - floor(log2(a.node)) <= 3)"""
 
 
-def _tree(t: Tables) -> DataFrame:
-    """Lineages in the binary tree of part keys: the parents of k are 2k and 2k + 1."""
-    nodes = t.part.where("p_partkey between 1 and 255").select(F.col("p_partkey").alias("id"))
-    steps = nodes.select("id", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("g")).select("id", "g", F.explode(F.sequence(F.lit(0).cast("long"), F.pow(2, "g").cast("long") - 1)).alias("i"))
-    up = steps.select("id", (F.pow(2, "g").cast("long") * F.col("id") + F.col("i")).alias("ancestor"), ids.lineage_path(F.col("g"), F.col("i")).alias("path"))
-    return up.join(nodes.select(F.col("id").alias("ancestor")), "ancestor", "left_semi").select("id", "path", "ancestor")
+def _depth(column: str):
+    """Generations between key 1 and a key of the tree."""
+    return F.length(F.bin(F.col(column))) - 1
+
+
+def _tree(t: Tables, nodes: str = "p_partkey >= 1", generations: int | None = None) -> DataFrame:
+    """Lineages in the binary tree of part keys: the parents of k are 2k and 2k + 1. Without ``generations`` a lineage goes up to the largest key."""
+    own = t.part.where(nodes).select(F.col("p_partkey").alias("ancestor"))
+    top = _depth("ancestor") if generations is None else F.least(_depth("ancestor"), F.lit(generations))
+    steps = own.where("ancestor > 1").select("ancestor", F.explode(F.sequence(F.lit(1), top)).alias("g")).withColumn("id", F.expr("shiftright(ancestor, g)"))
+    up = steps.select("id", ids.lineage_path(F.col("g"), F.expr("ancestor - shiftleft(id, g)")).alias("path"), "ancestor")
+    return up.join(own.select(F.col("ancestor").alias("id")), "id", "left_semi").select("id", "path", "ancestor")
+
+
+#: The nodes and generations of the SQL.
+SMALL_TREE = ("p_partkey between 1 and 255", 3)
 
 
 @query(f"WITH {TREE} SELECT id, path, ancestor FROM paths")
 def lineage_paths(t: Tables) -> DataFrame:
+    return _tree(t, *SMALL_TREE)
+
+
+@query()
+def lineage_paths_all(t: Tables) -> DataFrame:
     return _tree(t)
 
 
 @query(f"""WITH {TREE}, x AS (SELECT id AS root, path, ancestor FROM paths UNION ALL SELECT a.ancestor, substr(b.path, length(a.path) + 1), b.ancestor FROM paths a JOIN paths b ON a.id = b.id AND starts_with(b.path, a.path) AND length(b.path) > length(a.path))
 SELECT root, path, min(ancestor) AS ancestor FROM x GROUP BY root, path""")
 def subtree_index(t: Tables) -> DataFrame:
+    return lineage.subtree_index(_tree(t, *SMALL_TREE))
+
+
+@query()
+def subtree_index_all(t: Tables) -> DataFrame:
     return lineage.subtree_index(_tree(t))
 
 
 def _graft(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(trees, cells, names) of registration numbers made from the tree, with holes."""
-    name = lambda c: F.concat((F.lit(2020) - 4 * F.floor(F.log2(F.col(c)))).cast("string"), F.lpad(F.col(c).cast("string"), 6, "0"))
-    tree = _tree(t).select("id", name("id").alias("horse"), "path", name("ancestor").alias("ancestor"), F.col("ancestor").alias("node"))
+    """(trees, cells, names) of registration numbers made from the tree of all part keys, with holes. A tree shows three generations."""
+    key = lambda c: F.when(F.col(c) < 1_000_000, F.lpad(F.col(c).cast("string"), 6, "0")).otherwise(F.raise_error(F.lit("an id has room for six digits of a part key")))
+    name = lambda c: F.concat((F.lit(2020) - 4 * _depth(c)).cast("string"), key(c))
+    tree = _tree(t, generations=3).select("id", name("id").alias("horse"), "path", name("ancestor").alias("ancestor"), F.col("ancestor").alias("node"))
     trees = tree.where("id % 3 = 0").select(F.col("horse").alias("id"), "path", "ancestor")
     cells = tree.where("id % 3 <> 0 and length(path) <= 2 and node % 5 <> 0").select(F.col("horse").alias("id"), "path", F.concat(F.lit("112"), F.lpad(F.col("node").cast("string"), 7, "0")).alias("breed_no"), F.concat(F.lit("N"), F.col("node").cast("string")).alias("name"))
     known = tree.where("node % 2 = 0").select(F.concat(F.lit("N"), F.col("node").cast("string")).alias("name"), F.col("ancestor").alias("id"), F.when(F.col("path").endswith("m"), "牝").otherwise("牡").alias("sex")).distinct()

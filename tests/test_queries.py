@@ -23,3 +23,29 @@ def test_connected_components_take_every_order(run):
         expected.setdefault(2 * customer, {2 * customer}).add(2 * order + 1)
     expected = sorted((node, min(own)) for own in expected.values() for node in own)
     assert sorted(run("connected_components_all", orders=(orders, "o_orderkey long, o_custkey long"))) == expected
+
+
+def test_lineages_of_every_part(run):
+    keys = set(range(700)) - {5, 41, 600}
+    part = ([(k,) for k in sorted(keys)], "p_partkey long")
+    cells = {}
+    for above in keys - {0}:
+        path, k = "", above
+        while k > 1:
+            path, k = "fm"[k % 2] + path, k // 2
+            if k in keys:
+                cells[k, path] = above
+    expected = sorted((k, path, above) for (k, path), above in cells.items())
+    assert sorted(run("lineage_paths_all", part=part)) == expected
+    assert sorted(run("subtree_index_all", part=part)) == expected
+
+
+def test_grafts_reach_every_part(run):
+    grafted = run("graft_fixpoint", part=([(k,) for k in range(700)], "p_partkey long"))
+    key = lambda name: int(name[-6:])
+    assert {key(r[0]) for r in grafted} >= {k for k in range(1, 350) if k % 3 and (2 * k % 5 or (2 * k + 1) % 5)}
+    for horse, path, ancestor, _ in grafted:
+        k = key(horse)
+        for step in path:
+            k = 2 * k + (step == "m")
+        assert key(ancestor) == k
