@@ -426,6 +426,14 @@ def staged_match(t: Tables) -> DataFrame:
     return match.staged_match(rows, pool, [("p_brand", "p_type"), ("p_type",)], "p_partkey", "short", "name")
 
 
+@query(ORACLES["staged_match"].replace("p_partkey % 10", "p_partkey % 2"))
+def staged_match_all(t: Tables) -> DataFrame:
+    """Even parts among odd ones: every part is matched or a candidate."""
+    rows = t.part.where("p_partkey % 2 = 0").select("p_partkey", "p_brand", "p_type", F.substring("p_name", 1, 5).alias("short"))
+    pool = t.part.where("p_partkey % 2 = 1").select("p_brand", "p_type", F.concat_ws(" ", "p_name", F.col("p_size").cast("string")).alias("name"))
+    return match.staged_match(rows, pool, [("p_brand", "p_type"), ("p_type",)], "p_partkey", "short", "name")
+
+
 @query("""
 WITH a AS (SELECT user_id, strftime(ts, '%Y-%m-%d') AS d, max(value) AS clicked, max(ts) AS at FROM events WHERE event_type = 'click' GROUP BY 1, 2), b AS (SELECT user_id, strftime(ts, '%Y-%m-%d') AS d, max(value) AS bought, max(ts) AS at FROM events WHERE event_type = 'purchase' GROUP BY 1, 2)
 SELECT coalesce(a.user_id, b.user_id) AS user_id, coalesce(a.d, b.d) AS d, clicked, bought, CASE WHEN a.at IS NULL THEN b.at WHEN b.at IS NULL THEN a.at ELSE greatest(a.at, b.at) END AS at FROM a FULL JOIN b ON a.user_id = b.user_id AND a.d = b.d

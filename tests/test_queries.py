@@ -49,3 +49,20 @@ def test_grafts_reach_every_part(run):
         for step in path:
             k = 2 * k + (step == "m")
         assert key(ancestor) == k
+
+
+def test_staged_match_takes_every_part(run):
+    kinds = [("A", "X"), ("B", "X"), ("C", "Y")]
+    part = [(k, f"{('large', 'small', 'rusty')[k // 2 % 3]} {('ring', 'bolt')[k % 2]}", *kinds[k * k % 7 % 3], k % 4) for k in range(30)]
+    part += [(100, "large cog", "D", "X", 1), (102, "plain cog", "D", "X", 1), (103, "plain pin", "A", "X", 9), (104, "large cog", "D", "Z", 1)]
+    expected = []
+    for key, name, brand, kind, _ in part:
+        if key % 2:
+            continue
+        for stage, fits in ((1, lambda b, k, brand=brand, kind=kind: (b, k) == (brand, kind)), (2, lambda b, k, kind=kind: k == kind)):
+            hits = {full[full.index(name[:5]) :] for o, n, b, k, size in part if o % 2 and fits(b, k) and name[:5] in (full := f"{n} {size}")}
+            if hits:
+                expected.append((key, stage, hits.pop() if len(hits) == 1 else None))
+                break
+    assert {(s, m is None) for _, s, m in expected} >= {(1, True), (1, False), (2, False)}
+    assert sorted(run("staged_match_all", part=(part, "p_partkey long, p_name string, p_brand string, p_type string, p_size int"))) == sorted(expected)
