@@ -650,7 +650,7 @@ def connected_components_all(t: Tables) -> DataFrame:
 @query()
 def constrained_union(t: Tables) -> DataFrame:
     number = F.concat(F.lit("11"), F.when(F.col("p_partkey") % 5 == 0, "2").otherwise("4"), F.lpad((F.col("p_partkey") % 300).cast("string"), 7, "0"))
-    edges = t.part.where("p_partkey % 4 = 0").select((F.col("p_partkey") % 4).cast("int").alias("role"), F.lit(0).alias("source"), number.alias("number"), F.concat("p_name", F.lit(" "), (F.col("p_partkey") % 50).cast("string")).alias("name"))
+    edges = t.part.select((F.col("p_partkey") % 4).cast("int").alias("role"), F.lit(0).alias("source"), number.alias("number"), F.concat("p_name", F.lit(" "), (F.col("p_partkey") % 50).cast("string")).alias("name"))
     return resolve.resolve(edges)
 
 

@@ -1,6 +1,7 @@
 """Queries over whole tables, each against a plain version on a small fixture."""
 
 import pytest
+from furlong.operators import resolve
 from furlong.queries import QUERIES
 
 
@@ -66,3 +67,17 @@ def test_staged_match_takes_every_part(run):
                 break
     assert {(s, m is None) for _, s, m in expected} >= {(1, True), (1, False), (2, False)}
     assert sorted(run("staged_match_all", part=(part, "p_partkey long, p_name string, p_brand string, p_type string, p_size int"))) == sorted(expected)
+
+
+def test_constrained_union_takes_every_role(run):
+    part = [(k, f"n{k * 13 % 5}") for k in range(1_200)]
+    edges = sorted((k % 4, 0, f"11{'4' if k % 5 else '2'}{k % 300:07d}", f"{name} {k % 50}") for k, name in part)
+    groups, refused = resolve.constrained_groups([e[2:] for e in edges], lambda n: n[2] == "2")
+    expected = {("refused", f"{a}|{b}") for a, b in refused}
+    for numbers, names in groups:
+        key = min({n for n in numbers if n[2] == "2"} or numbers)
+        expected |= {(key, "number", n) for n in numbers} | {(key, "name", n) for n in names}
+    found = run("constrained_union", part=(part, "p_partkey long, p_name string"))
+    assert {r[1:] if r[0] is None else r for r in found} == expected
+    assert {int(v) % 4 for _, kind, v in found if kind == "number"} == {0, 1, 2, 3}
+    assert refused
