@@ -196,8 +196,8 @@ def links(prints: DataFrame, crowd: int = CROWD) -> DataFrame:
     return rows.repartition(n, "key", "part").sortWithinPartitions("key", "part").mapInArrow(_edges, "src long, dst long")
 
 
-def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", crowd: int = CROWD) -> DataFrame:
-    """``doc_id, fp, component_id``: one row for each row of ``docs``."""
+def _classes(docs: DataFrame, doc_id: str, text: str, crowd: int) -> DataFrame:
+    """``doc_id, fp, c, component_id``: one row for each row of ``docs``; ``c`` is the component's key, with or without ids."""
     prints = cut(fingerprints(docs, doc_id, text))
     groups = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     found = cut(connected_components(links(groups, crowd)))
@@ -205,24 +205,53 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", crowd:
     labelled = groups.join(found, groups["fp"] == found["node"], "left").select("fp", "first_id", F.coalesce("component", "fp").alias("c"))
     labelled = cut(labelled)
     least = cut(labelled.groupBy("c").agg(F.min("first_id").alias("component_id")))
-    labelled = cut(labelled.join(least, "c").select(F.col("fp").alias("k"), "component_id"))
-    return prints.join(labelled, prints["fp"] == labelled["k"]).select("doc_id", "fp", "component_id")
+    labelled = cut(labelled.join(least, "c").select(F.col("fp").alias("k"), "c", "component_id"))
+    return prints.join(labelled, prints["fp"] == labelled["k"]).select("doc_id", "fp", "c", "component_id")
+
+
+def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", crowd: int = CROWD) -> DataFrame:
+    """``doc_id, fp, component_id``: one row for each row of ``docs``."""
+    return _classes(docs, doc_id, text, crowd).select("doc_id", "fp", "component_id")
 
 
 def fingerprint_text(column: str = "fp"):
     return F.lower(F.lpad(F.hex(F.col(column)), 16, "0"))
 
 
+def _with_prints(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``row, doc_id, fp``: whole rows as structs, so that no column's name can clash."""
+    small_batches(docs.sparkSession)
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col(doc_id).alias("doc_id"))
+    schema = rows.withColumn("fp", F.lit(0).cast("long")).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                whole = batch.column("row")
+                prints = np.array([fingerprint(x) for x in utf8(whole.field(text))], np.uint64)
+                yield pa.RecordBatch.from_arrays([whole, batch.column("doc_id"), pa.array(prints.view(np.int64))], names=["row", "doc_id", "fp"])
+
+    return rows.mapInArrow(run, schema)
+
+
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each component, that of its smallest id; all columns stay as they are.
 
-    Of repeated rows with that id, one stays. A component without any id loses all but one row, too.
+    Of a component's repeated rows with that id, one stays, and so does one row of
+    a component without any id. An id names its row where no other row has it;
+    null and repeated ids are told apart by the fingerprint.
     """
-    kept = classes(docs, doc_id, text).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = cut(kept.groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("kept_rows")))
-    rows = docs.join(kept, docs[doc_id].eqNullSafe(kept["kept_id"]))
-    once = rows.where(kept["kept_rows"] == 1).select(*[docs[c] for c in docs.columns])
-    if kept.where("kept_rows > 1").isEmpty():
+    found = cut(_classes(docs, doc_id, text, CROWD))
+    heads = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("kept_id"), F.col("fp").alias("kept_fp"), "c").agg(F.lit(1).alias("one")).drop("one")
+    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("repeated_id"))
+    heads = cut(heads.join(repeated, F.col("kept_id") == F.col("repeated_id"), "left").withColumn("alone", F.col("kept_id").isNotNull() & F.col("repeated_id").isNull()).drop("repeated_id"))
+    named = heads.where("alone").select("kept_id")
+    once = docs.join(named, docs[doc_id] == named["kept_id"], "left_semi").select(*[docs[c] for c in docs.columns])
+    shared = heads.where("not alone")
+    if shared.isEmpty():
         return once
-    again = rows.where(kept["kept_rows"] > 1).select(*[docs[c] for c in docs.columns]).dropDuplicates([doc_id])
-    return once.unionByName(again)
+    reused = shared.where("kept_id is not null").select("kept_id").distinct()
+    several = docs.join(reused, docs[doc_id] == reused["kept_id"], "left_semi").unionByName(docs.where(docs[doc_id].isNull()))
+    rows = _with_prints(several, doc_id, text)
+    again = rows.join(shared, rows["fp"].eqNullSafe(shared["kept_fp"]) & rows["doc_id"].eqNullSafe(shared["kept_id"])).select("row", "c").dropDuplicates(["c"])
+    return once.unionByName(again.select("row.*"))

@@ -216,6 +216,16 @@ def test_simhash(docs, texts, empty):
     assert simhash.classes(empty).count() == 0 and simhash.keep_one(empty).count() == 0
 
 
+def test_keep_one_with_null_and_reused_ids(spark):
+    text = [words(40, 900 + i, 10_000) for i in range(9)]
+    # By component: no id at all, an id besides null, the least id of two components, an id that is the least of one only.
+    table = [(None, text[0], 1), (None, text[0], 2), (None, text[1], 3), (None, text[2], 4), (5, text[2], 5), (7, text[3], 6), (7, text[4], 7), (7, text[4], 8), (8, text[5], 9), (8, text[6], 10), (2, text[6], 11), (9, text[7], 12), (None, None, 13), (None, " ", 14)]
+    kept = simhash.keep_one(spark.createDataFrame(table, "doc_id long, text string, fp long").repartition(3)).collect()
+    found = sorted(((r["doc_id"], (r["text"] or "").strip()) for r in kept), key=key)
+    assert found == sorted([(None, text[0]), (None, text[1]), (5, text[2]), (7, text[3]), (7, text[4]), (8, text[5]), (2, text[6]), (9, text[7]), (None, "")], key=key)
+    assert all((r["doc_id"], r["text"], r["fp"]) in table for r in kept)
+
+
 def test_links_of_fingerprints_also_in_split_buckets(spark):
     rng = random.Random(5)
     centres = [rng.getrandbits(64) for _ in range(12)]
