@@ -42,12 +42,12 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def capped_prefixes(names: DataFrame, column: str, cap: int, shortest: int = 2, longest: int = 4) -> DataFrame:
+def capped_prefixes(names: DataFrame, column: str, cap: int, shortest: int = 2, longest: int = 4, step: int = 1) -> DataFrame:
     """Prefixes to search by: the shortest one whose number of names is under ``cap``, else the whole name.
 
     Returns ``prefix, n``. All lengths are counted in one aggregation.
     """
-    lengths = list(range(shortest, longest + 1))
+    lengths = list(range(shortest, longest + 1, step))
     rows = names.select(F.col(column).alias("name")).where(F.col("name").isNotNull())
     pieces = rows.select("name", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.substring("name", 1, k).alias("p")) for k in lengths])).alias("x"))
     sizes = pieces.groupBy("x.k", "x.p").agg(F.count("*").alias("n"))

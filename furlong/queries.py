@@ -237,15 +237,7 @@ n AS (SELECT *, count(*) OVER (PARTITION BY a) AS na, count(*) OVER (PARTITION B
 SELECT CASE WHEN na < 200 THEN a WHEN nb < 200 THEN b WHEN nc < 200 THEN c ELSE c_name END AS prefix, count(*) AS n FROM n GROUP BY 1
 """)
 def capped_prefix(t: Tables) -> DataFrame:
-    rows = t.customer.select(F.concat(F.substring("c_name", 1, 8), F.substring("c_name", 10, 20)).alias("x"), "c_name")
-    found = None
-    open_rows = rows
-    for k in (12, 14, 16):
-        sizes = open_rows.groupBy(F.substring("c_name", 1, k).alias("prefix")).agg(F.count("*").alias("n"))
-        own = sizes.where("n < 200")
-        found = own if found is None else found.unionByName(own)
-        open_rows = open_rows.withColumn("prefix", F.substring("c_name", 1, k)).join(sizes.where("n >= 200").select("prefix"), "prefix").drop("prefix")
-    return found.unionByName(open_rows.groupBy(F.col("c_name").alias("prefix")).agg(F.count("*").alias("n")))
+    return coverage.capped_prefixes(t.customer, "c_name", 200, 12, 16, 2)
 
 
 @query("""
@@ -698,13 +690,13 @@ def subtree_index_all(t: Tables) -> DataFrame:
     return lineage.subtree_index(_tree(t))
 
 
-def _graft(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _graft(t: Tables, celled: str = "id % 3 <> 0") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(trees, cells, names) of registration numbers made from the tree of all part keys, with holes. A tree shows three generations."""
     key = lambda c: F.when(F.col(c) < 1_000_000, F.lpad(F.col(c).cast("string"), 6, "0")).otherwise(F.raise_error(F.lit("an id has room for six digits of a part key")))
     name = lambda c: F.concat((F.lit(2020) - 4 * _depth(c)).cast("string"), key(c))
     tree = _tree(t, generations=3).select("id", name("id").alias("horse"), "path", name("ancestor").alias("ancestor"), F.col("ancestor").alias("node"))
     trees = tree.where("id % 3 = 0").select(F.col("horse").alias("id"), "path", "ancestor")
-    cells = tree.where("id % 3 <> 0 and length(path) <= 2 and node % 5 <> 0").select(F.col("horse").alias("id"), "path", F.concat(F.lit("112"), F.lpad(F.col("node").cast("string"), 7, "0")).alias("breed_no"), F.concat(F.lit("N"), F.col("node").cast("string")).alias("name"))
+    cells = tree.where(f"{celled} and length(path) <= 2 and node % 5 <> 0").select(F.col("horse").alias("id"), "path", F.concat(F.lit("112"), F.lpad(F.col("node").cast("string"), 7, "0")).alias("breed_no"), F.concat(F.lit("N"), F.col("node").cast("string")).alias("name"))
     known = tree.where("node % 2 = 0").select(F.concat(F.lit("N"), F.col("node").cast("string")).alias("name"), F.col("ancestor").alias("id"), F.when(F.col("path").endswith("m"), "牝").otherwise("牡").alias("sex")).distinct()
     return trees, cells, known
 
@@ -727,6 +719,12 @@ def holdout_agreement(t: Tables) -> DataFrame:
     return both.agg(F.count("*").alias("compared"), F.count_if(F.col("g") == F.col("o_orderstatus")).alias("agreeing"))
 
 
+@query()
+def lineage_holdout(t: Tables) -> DataFrame:
+    """A tenth of the trees over all part keys, held out and rebuilt; every horse has cells, for trees are rebuilt from them."""
+    return lineage.holdout(*_graft(t, "true"))
+
+
 @query()
 def streamed_latest(t: Tables) -> DataFrame:
     return incremental.latest_snapshot_by_stream(t.spark, f"{t.sf_dir}/events.parquet", ["user_id", "event_type"], "ts", "event_id")

@@ -1,7 +1,9 @@
 """Queries over whole tables, each against a plain version on a small fixture."""
 
+import zlib
+
 import pytest
-from furlong.operators import resolve
+from furlong.operators import coverage, resolve
 from furlong.queries import QUERIES
 
 
@@ -81,3 +83,18 @@ def test_constrained_union_takes_every_role(run):
     assert {r[1:] if r[0] is None else r for r in found} == expected
     assert {int(v) % 4 for _, kind, v in found if kind == "number"} == {0, 1, 2, 3}
     assert refused
+
+
+def test_holdout_rebuilds_trees_over_every_part(run):
+    held = {k for k in range(3, 350, 3) if zlib.crc32(f"{2020 - 4 * (k.bit_length() - 1)}{k:06d}".encode()) % 1000 < 100}
+    (found,) = run("lineage_holdout", part=([(k,) for k in range(700)], "p_partkey long"))
+    assert found[0] == len(held) and found[1] > 0 and found[1] == found[2]
+
+
+def test_capped_prefix_is_the_operator(run, monkeypatch):
+    asked = []
+    plain = coverage.capped_prefixes
+    monkeypatch.setattr(coverage, "capped_prefixes", lambda *a: asked.append(a[1:]) or plain(*a))
+    names = [(f"Customer#{i:09d}",) for i in range(450)]
+    assert sum(n for _, n in run("capped_prefix", customer=(names, "c_name string"))) == 450
+    assert asked == [("c_name", 200, 12, 16, 2)]
