@@ -18,6 +18,8 @@ def build_session(app: str = "furlong", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.legacy.javaCharsets": "true",
         "spark.ui.enabled": "false",
+        # A checkpoint's files go when no frame refers to it any more.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for key, value in {**settings, **conf}.items():
         builder = builder.config(key, value)
@@ -27,11 +29,13 @@ def build_session(app: str = "furlong", master: str | None = None, **conf: str)
 def shared_root(spark: SparkSession) -> str:
     """URI of the folder that the driver and all executors share.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset,
-    as in tests, a folder below ``/tmp`` is set for this session.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local master, as in
+    tests, may leave that unset: a folder below ``/tmp`` then serves its session.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = "file:///tmp/checkpoints"
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
