@@ -7,22 +7,35 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Rows of one Arrow batch; a batch holds at most so many whole texts.
-BATCH_ROWS = 512
+#: Rows and bytes of one Arrow batch; a row beyond the bytes is a batch of its own.
+BATCH_ROWS = 4_096
+BATCH_BYTES = 8 << 20
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the Arrow batches that Python workers get."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) != rows:
-        spark.conf.set(key, rows)
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches that Python workers get, by rows and by bytes.
+
+    A frame takes the bounds that hold when it runs, not when it is made, so all
+    operators set the same ones and none changes them.
+    """
+    for key, value in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        spark.conf.set(f"spark.sql.execution.arrow.{key}", str(value))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def long_id(df: DataFrame, column: str) -> Column:
+    """An id column as a long; an id of another kind than a whole number is refused, for a cast would merge or lose ids."""
+    kind = df.schema[column].dataType
+    if not isinstance(kind, (T.IntegralType, T.NullType)):
+        raise TypeError(f"{column} must hold whole numbers, not {kind.simpleString()}")
+    return F.col(column).cast("long")
+
+
 def utf8(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column's values."""
     return column.cast(pa.large_binary()).to_pylist()

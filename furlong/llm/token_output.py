@@ -8,12 +8,14 @@ read; only finished frames are moved, to the file that holds their range of ids.
 
 Defined cases: a null or empty text has the end id only; documents come in
 ascending id order, those without an id first, repeated ids in the order of their
-tokens; texts are encoded whole, whatever their length; an empty table gives no
-file. Only the named columns are read.
+tokens; texts are encoded whole, whatever their length; the string of a special
+token in a text is that token, as the library has it; an id that is no whole
+number is an error; an empty table gives no file. Only the named columns are read.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
@@ -26,8 +28,8 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from furlong.llm.common import map_rows, small_batches, utf8
-from furlong.llm.storage import Writer, reader
+from furlong.llm.common import bound_batches, long_id, map_rows, utf8
+from furlong.llm.storage import Writer, reader, remove_folder
 from furlong.session import cut, shared_folder
 
 TOKENIZER = "word_bpe_49k.json"
@@ -44,19 +46,34 @@ MEMORY = 500_000
 LIST_MAGIC, TABLE_MAGIC, FOOTER_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 WITH_CHECKSUMS = 0x80
 
+#: The normalizer and pre-tokenizer of a tokenizer that drops white space and never joins across it.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
 
 class Encoder:
-    """Encodes whole texts, remembering the ids of the pieces between spaces.
-
-    The tokenizer drops white space and never joins across it, so the ids of a
-    text are those of its pieces one after the other. It lower-cases, and a full
-    stop or comma that stands alone after a letter is a token of its own, so texts
-    are brought to that form first. New pieces of letters alone are encoded many
-    at a time: each is one word, and a word's last token is marked in the
-    vocabulary.
+    """Encodes whole texts as the tokenizers library does by itself, special tokens' own strings included.
+
+    A tokenizer that drops white space and never joins across it is asked for the
+    pieces between spaces only, once for each piece: the ids of a text are those
+    of its pieces one after the other. As it lower-cases, and a full stop or comma
+    that stands alone after a letter is a token of its own, pieces are first
+    brought to that form, and new pieces of letters alone are encoded many at a
+    time: each is one word, and a word's last token is marked in the vocabulary.
+    Texts in which lower-casing could change what is composed or found (combining
+    marks, and the beginning of an added token) are split, but left as they are.
+    Any other tokenizer gets whole texts.
     """
 
     STOP = re.compile(rb"(?<=[a-z])([.,])(?=[ \n]|$)")
+    #: Lead bytes of the combining marks that compose with ASCII letters; in UTF-8 they begin nothing but U+0300 to U+037F.
+    MARKS = (b"\xcc", b"\xcd")
     #: New words encoded as one text.
     JOINED = 200
 
@@ -64,8 +81,15 @@ class Encoder:
         import public_tokenizers
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        self.tokenizer.encode_special_tokens = True
+        path = public_tokenizers.path(name)
+        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            parts = json.load(file)
+        self.by_piece = parts["normalizer"] == NORMALIZER and parts["pre_tokenizer"] == PRE_TOKENIZER
+        added = [token["content"].encode() for token in parts["added_tokens"]]
+        self.by_piece = self.by_piece and not any(re.search(rb"\s", token) for token in added)
+        #: What must not be lower-cased: an added token's first two bytes stand for it.
+        self.careful = (*self.MARKS, *sorted({token[:2] for token in added}))
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -98,9 +122,16 @@ class Encoder:
                 keys, texts = zip(*some, strict=True)
                 self.known.update(zip(keys, encode(list(texts)), strict=True))
 
+    def _pieces(self, text: bytes) -> list[bytes]:
+        if not any(x in text for x in self.careful):
+            text = self.STOP.sub(rb" \1", text.lower())
+        return text.replace(b"\n", b" ").split(b" ")
+
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Ids of UTF-8 texts as little-endian unsigned 32-bit integers, the end id not included."""
-        split = [self.STOP.sub(rb" \1", t.lower()).replace(b"\n", b" ").split(b" ") if t else [] for t in texts]
+        if not self.by_piece:
+            return self._one_by_one([(t or b"").decode() for t in texts])
+        split = [self._pieces(t) if t else [] for t in texts]
         self._learn(set().union(*split) - self.known.keys())
         known = self.known
         out = [b"".join([known[p] for p in own]) for own in split]
@@ -180,8 +211,8 @@ class SeekableReader:
 def write(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER, end_id: int = END_ID, file_docs: int = FILE_DOCS) -> DataFrame:
     """Write the token files; their manifest ``part, file, n_docs, n_tokens, start``, ``start`` being the ids in all files before."""
     spark = docs.sparkSession
-    small_batches(spark)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    bound_batches(spark)
+    rows = docs.select(long_id(docs, doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     n_docs = rows.count()
     n_files = max(1, -(-n_docs // file_docs), min(int(spark.conf.get("spark.sql.shuffle.partitions")), n_docs // 1000))
     # Bounds of the files' ranges, from the ids alone: nothing is tokenized for them.
@@ -250,5 +281,8 @@ def read(manifest: DataFrame) -> DataFrame:
 
 
 def report(docs: DataFrame, **options) -> DataFrame:
-    """Write the files to the shared folder and read them back."""
-    return read(write(docs, shared_folder(docs.sparkSession, "tokens"), **options))
+    """Write the files to the shared folder, read them back and remove them."""
+    folder = shared_folder(docs.sparkSession, "tokens")
+    found = cut(read(write(docs, folder, **options)))
+    remove_folder(folder)
+    return found
