@@ -12,8 +12,9 @@ found linked.
 The range join of a block cuts its first coordinates into cells two radii wide. A
 vector has one home cell and is also sent to the other cells that its radius
 reaches; a cell compares its home vectors with all it holds. How many coordinates
-are cut follows from the number of vectors. A crowded cell is split into parts of
-its home vectors, each of which meets the whole cell.
+are cut follows from the number of vectors. A crowded cell is split into parts by a
+hash, and each two parts meet in a task of their own, so a task holds two parts of
+a cell at most, whatever the cell's size.
 
 Equal vectors are joined once, with their number. Defined cases: vectors that are
 null, empty, all zero or hold null or non-finite components link with nothing;
@@ -31,13 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furlong.llm.common import map_rows, small_batches
+from furlong.llm.common import bound_batches, long_id, map_rows
 from furlong.operators.components import connected_components, forest
 from furlong.session import cut
 
 COSINE = 0.95
 BLOCK_DIMS = 16
-#: Vectors that a cell should hold at most; decides how many coordinates are cut, and splits cells that hold more.
+#: Vectors of a part of a cell, about; decides how many coordinates are cut, and into how many parts a cell is split that holds more than two.
 CELL = 32_768
 #: Slack of the single-precision filters, in squared distance; the verification has none.
 SLACK = 1e-4
@@ -67,7 +68,7 @@ def distinct_vectors(vectors: DataFrame, vec_id: str, embedding: str) -> tuple[D
     v = F.col(embedding).cast("array<double>")
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     good = F.col(vec_id).isNotNull() & (F.size(v) > 0) & ~F.exists(v, bad) & F.exists(v, lambda x: x != 0)
-    rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.when(good, F.col(embedding)).alias("v"))
+    rows = vectors.select(long_id(vectors, vec_id).alias("vec_id"), F.when(good, F.col(embedding)).alias("v"))
     return rows, rows.where("v is not null").groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
 
 
@@ -113,37 +114,77 @@ def cells_of(x: np.ndarray, number: int, a: int, b: int, cosine: float, cuts: in
         yield name, rows, first is None
 
 
-def _deal(cosine: float, block_dims: int, cuts: int, crowded, carry: bool):
-    """Rows ``cell, part, home`` of the cells that each vector goes to, with the vector itself if ``carry``."""
+#: What a row is to its task: compared with rows at home only, at home, at home and compared with its like as well.
+GUEST, HOME, WITHIN = 0, 1, 2
 
-    def make(batch: pa.RecordBatch) -> dict:
+
+def _part(rep: np.ndarray, parts: np.ndarray) -> np.ndarray:
+    """The part of its cell that a vector belongs to, from a mixed hash of its number."""
+    h = rep.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+    return ((h ^ (h >> np.uint64(31))) % parts.astype(np.uint64)).astype(np.int64)
+
+
+def _tasks(own: np.ndarray, parts: np.ndarray, home: bool):
+    """(rows, task, role) of vectors that belong to part ``own`` of cells in ``parts`` parts.
+
+    Task (i, j) of a cell compares its home part i with its part j: with the
+    guests there and, for j behind i, the vectors at home there. Task (i, i) also
+    compares part i's home vectors with each other.
+    """
+    for other in range(int(parts.max(initial=0))):
+        rows = np.flatnonzero(parts > other)
+        mine, k = own[rows], parts[rows]
+        if home:
+            yield rows, mine * k + other, np.where(mine == other, WITHIN, HOME)
+            behind = mine > other
+            yield rows[behind], (other * k + mine)[behind], np.full(int(behind.sum()), GUEST)
+        else:
+            yield rows, other * k + mine, np.full(len(rows), GUEST)
+
+
+def _deal(cosine: float, block_dims: int, cuts: int, crowded, carry: bool, read: int = 512, written: int = 8_192):
+    """Rows ``cell, part, role`` of the tasks that each vector goes to, with the vector itself if ``carry``; so many rows are read and written at a time."""
+
+    def tasks_of(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
         t = batch.column("t")
+        rep = np.asarray(batch.column("rep"))
         sizes = np.asarray(t.value_lengths())
-        names, parts, homes, rows = [], [], [], []
+        hot, hot_parts = crowded.value if crowded else (np.zeros(0, np.int64),) * 2
+        names, tasks, roles, rows = [], [], [], []
         for dims in np.unique(sizes):
             at = np.flatnonzero(sizes == dims)
             x = _matrix(t.take(pa.array(at)))
             for number, (a, b) in enumerate(blocks_of(int(dims), block_dims)):
                 for name, own, home in cells_of(x, number, a, b, cosine, cuts):
-                    split = np.fromiter((crowded.value.get(n, 1) for n in name.tolist()), np.int64, len(name)) if crowded and crowded.value else np.ones(len(name), np.int64)
-                    mine = np.asarray(batch.column("rep"))[at[own]] % split
-                    for part in range(int(split.max(initial=1))):
-                        # A split cell's vectors are at home in one part and guests in the parts before it; others' vectors are guests in all.
-                        here = (split > part) & ((mine >= part) if home else True)
-                        names.append(name[here])
-                        parts.append(np.full(here.sum(), part))
-                        homes.append((mine[here] == part) if home else np.zeros(here.sum(), bool))
-                        rows.append(at[own[here]])
-        cat = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
-        take = pa.array(cat(rows, np.int64))
-        out = {"cell": pa.array(cat(names, np.int64)), "part": pa.array(cat(parts, np.int64)), "home": pa.array(cat(homes, bool))}
-        return out | ({n: batch.column(n).take(take) for n in ("rep", "copies", "v", "t")} if carry else {})
-
-    return make
-
-
-def _pairs(home: pa.Table, guest: pa.Table, number: int, cosine: float, block_dims: int, chunk: int = 512):
-    """(i, j) of linked pairs that this block is the first to bring; i at home, j at home behind i or a guest."""
+                    parts = np.ones(len(name), np.int64)
+                    if len(hot):
+                        place = np.minimum(np.searchsorted(hot, name), len(hot) - 1)
+                        parts = np.where(hot[place] == name, hot_parts[place], 1)
+                    for some, task, role in _tasks(_part(rep[at[own]], parts), parts, home):
+                        names.append(name[some])
+                        tasks.append(task)
+                        roles.append(role)
+                        rows.append(at[own[some]])
+        return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (names, tasks, roles, rows))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, read):
+                some = batch.slice(first, read)
+                names, tasks, roles, rows = tasks_of(some)
+                for at in range(0, len(rows), written):
+                    until = at + written
+                    out = {"cell": pa.array(names[at:until]), "part": pa.array(tasks[at:until]), "role": pa.array(roles[at:until].astype(np.int8))}
+                    take = pa.array(rows[at:until])
+                    yield pa.RecordBatch.from_pydict(out | ({n: some.column(n).take(take) for n in ("rep", "copies", "v", "t")} if carry else {}))
+
+    return run
+
+
+def _pairs(home: pa.Table, guest: pa.Table, within: bool, number: int, cosine: float, block_dims: int, chunk: int = 512):
+    """(i, j) of linked pairs that this block is the first to bring; i at home, j a guest or, if ``within``, at home behind i."""
     both = pa.concat_tables([home, guest])
     t, v = _matrix(both.column("t")), _matrix(both.column("v"))
     n, dims = home.num_rows, t.shape[1]
@@ -157,9 +198,11 @@ def _pairs(home: pa.Table, guest: pa.Table, number: int, cosine: float, block_di
     limit = np.float32(budget(a, b, dims, cosine) + 2 * SLACK)
     for at in range(0, n, chunk):
         until = min(at + chunk, n)
-        near = left[at:until] @ right[at:].T <= limit
-        i, j = np.divmod(np.flatnonzero(near), near.shape[1])
-        i, j = i[i < j] + at, j[i < j] + at
+        since = at if within else n
+        near = left[at:until] @ right[since:].T <= limit
+        i, j = np.divmod(np.flatnonzero(near), max(near.shape[1], 1))
+        i, j = i + at, j + since
+        i, j = i[i < j], j[i < j]
         for some in range(0, len(i), 65_536):
             p, q = i[some : some + 65_536], j[some : some + 65_536]
             apart = (t[p].astype(np.float64) - t[q]) ** 2
@@ -171,15 +214,17 @@ def _pairs(home: pa.Table, guest: pa.Table, number: int, cosine: float, block_di
 
 
 def _join(cosine: float, block_dims: int):
-    """Per cell: ``a, b, n``: edges (n = 0) and numbers of links of a vector (b null)."""
+    """Per task of a cell: ``a, b, n``: edges (n = 0) and numbers of links of a vector (b null)."""
 
     def cell_rows(table: pa.Table):
-        home = table.column("home").to_numpy()
-        inside, outside = table.filter(pa.array(home)), table.filter(pa.array(~home))
+        role = table.column("role").to_numpy()
+        inside, outside = table.filter(pa.array(role != GUEST)), table.filter(pa.array(role == GUEST))
+        if not inside.num_rows:
+            return
         rep = np.concatenate((inside.column("rep").to_numpy(), outside.column("rep").to_numpy()))
         copies = np.concatenate((inside.column("copies").to_numpy(), outside.column("copies").to_numpy()))
         links, edges = np.zeros(len(rep), np.int64), []
-        for p, q in _pairs(inside, outside, int(table.column("block")[0].as_py()), cosine, block_dims):
+        for p, q in _pairs(inside, outside, bool((role == WITHIN).any()), int(table.column("block")[0].as_py()), cosine, block_dims):
             np.add.at(links, p, copies[q])
             np.add.at(links, q, copies[p])
             edges += zip(rep[p].tolist(), rep[q].tolist(), strict=True)
@@ -216,22 +261,26 @@ def _join(cosine: float, block_dims: int):
     return run
 
 
+def deal(distinct: DataFrame, cosine: float, block_dims: int, cuts: int, cell: int) -> DataFrame:
+    """``cell, part, role`` and the vector, for every task that it goes to; cells of more than ``cell`` rows are split."""
+    spark = distinct.sparkSession
+    counts = distinct.select("rep", "t").mapInArrow(_deal(cosine, block_dims, cuts, None, False), "cell long, part long, role byte").groupBy("cell").agg(F.count("*").alias("rows")).where(F.col("rows") > 2 * cell)
+    # At most one such cell for each 2 * cell of the rows dealt.
+    crowded = sorted((r["cell"], math.ceil(r["rows"] / cell)) for r in counts.collect())
+    shared = spark.sparkContext.broadcast(tuple(np.array([c[i] for c in crowded], np.int64) for i in (0, 1)))
+    return distinct.mapInArrow(_deal(cosine, block_dims, cuts, shared, True), "cell long, part long, role byte, rep long, copies long, v array<double>, t array<float>")
+
+
 def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", cosine: float = COSINE, block_dims: int = BLOCK_DIMS, cell: int = CELL) -> DataFrame:
-    """``vec_id, n_links, component_id, kept`` of every row."""
+    """``vec_id, n_links, component_id, kept`` of every row; a task holds about ``2 * cell`` vectors at most."""
     spark = vectors.sparkSession
-    small_batches(spark, 4096)
+    bound_batches(spark)
     rows, distinct = distinct_vectors(vectors, vec_id, embedding)
     distinct = cut(with_turned(distinct))
     n = distinct.count()
     # A cut leaves about six tenths of the vectors in reach of a cell.
     cuts = max(0, min(3, math.ceil(math.log(max(n, 1) / cell) / math.log(1 / 0.6)))) if n > cell else 0
-    crowded: dict[int, int] = {}
-    if n > cell:
-        counts = map_rows(distinct, _deal(cosine, block_dims, cuts, None, False), "cell long, part long, home boolean").groupBy("cell").agg(F.count("*").alias("rows")).where(F.col("rows") > 2 * cell)
-        # At most one such cell for each 2 * cell of the rows dealt.
-        crowded = {r["cell"]: math.ceil(r["rows"] / (2 * cell)) for r in counts.collect()}
-    shared = spark.sparkContext.broadcast(crowded)
-    dealt = map_rows(distinct, _deal(cosine, block_dims, cuts, shared, True), "cell long, part long, home boolean, rep long, copies long, v array<double>, t array<float>")
+    dealt = deal(distinct, cosine, block_dims, cuts, cell)
     dealt = dealt.withColumn("block", F.floor(F.floor(F.col("cell") / F.lit(128**cuts)) / F.lit(65_536)))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = cut(dealt.repartition(parts, "cell", "part").sortWithinPartitions("cell", "part").mapInArrow(_join(cosine, block_dims), "a long, b long, n long"))
