@@ -21,12 +21,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from furlong.llm.common import keep_rows, map_rows, small_batches, utf8
+from furlong.llm.common import bound_batches, keep_rows, map_rows, utf8
 from furlong.session import cut
 
 WINDOW = 13
-#: Most benchmark words in one broadcast index; larger benchmarks are taken in blocks, one pass each.
-MAX_INDEX_WORDS = 5_000_000
+#: Benchmark text of one broadcast index, in bytes. A word takes two bytes of text at least and 20 bytes of arrays at most,
+#: so an index is under 170 MB beside its words; larger benchmarks are taken in blocks, one pass each.
+MAX_INDEX_BYTES = 16 << 20
 
 #: A-Z to a-z; every ASCII byte that is no letter or digit to a space.
 NORMAL = bytes((b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32) for b in range(256))
@@ -36,65 +37,109 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(NORMAL).split() if text else []
 
 
+class _Windows:
+    """The distinct windows of one length: sorted hashes, a place of each in the items' words, and the items that hold it."""
+
+    def __init__(self, words: np.ndarray, starts: np.ndarray, owners: np.ndarray, size: int):
+        self.size, self.words = size, words
+        columns = np.lib.stride_tricks.sliding_window_view(words, size)
+        for seed in range(7, 107):
+            self.factors = np.random.default_rng(seed).integers(1, 2**62, size, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+            hashes = self.hash([words[starts + j] for j in range(size)])
+            order = np.lexsort((owners, hashes))
+            same = hashes[order][1:] == hashes[order][:-1]
+            pairs = np.flatnonzero(same)
+            # Hashes that keep all windows apart: with 64 bits, nearly any seed will do.
+            if all((columns[starts[order[pairs[i : i + 65_536]]]] == columns[starts[order[pairs[i : i + 65_536] + 1]]]).all() for i in range(0, len(pairs), 65_536)):
+                break
+        else:
+            raise ValueError("no hash keeps the windows apart")
+        first = np.flatnonzero(np.concatenate(([True], ~same)))
+        self.hashes, self.places = hashes[order][first], starts[order][first].astype(np.int32)
+        number = np.cumsum(np.concatenate(([True], ~same))) - 1
+        own = owners[order]
+        fresh = np.concatenate(([True], (number[1:] != number[:-1]) | (own[1:] != own[:-1]))) & (own >= 0)
+        self.items = own[fresh]
+        self.offsets = np.concatenate(([0], np.cumsum(np.bincount(number[fresh], minlength=len(first))))).astype(np.int32)
+
+    def hash(self, columns) -> np.ndarray:
+        """One hash for each window; ``columns`` holds its first words, its second words and so on."""
+        total = np.zeros(len(columns[0]), np.uint64)
+        for factor, column in zip(self.factors, columns, strict=True):
+            total += (column.astype(np.uint64) + np.uint64(1)) * factor
+            total ^= total >> np.uint64(29)
+        return total
+
+    def find(self, ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(starts of windows of ``ids`` that the index holds, word by word; their numbers)."""
+        values = self.hash([ids[starts + j] for j in range(self.size)])
+        place = np.minimum(np.searchsorted(self.hashes, values), len(self.hashes) - 1)
+        alike = np.flatnonzero(self.hashes[place] == values)
+        starts, place = starts[alike], place[alike]
+        true = np.ones(len(starts), bool)
+        for j in range(self.size):
+            true &= ids[starts + j] == self.words[self.places[place] + j]
+        return starts[true], place[true]
+
+
 class NgramIndex:
-    """All windows of a set of items: word ids, sorted window hashes, and the exact windows behind them."""
+    """All windows of a set of items, as arrays: word ids, the windows' hashes, one place of each, and the items behind them."""
 
     def __init__(self, items: list[tuple[str | None, bytes | None]], window: int = WINDOW):
         self.vocabulary: dict[bytes, int] = {}
-        self.windows: dict[int, dict[bytes, set[str]]] = {}
+        self.names: list[str] = []
+        number: dict[str, int] = {}
+        words: list[np.ndarray] = []
+        found: dict[int, list[tuple[int, int, int]]] = {}
+        at = 0
         for item, text in items:
             ids = np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words_of(text)], np.int32)
+            if not len(ids):
+                continue
+            owner = -1
+            if item is not None:
+                owner = number.setdefault(item, len(number))
             size = min(window, len(ids))
-            for i in range(len(ids) - size + 1 if size else 0):
-                found = self.windows.setdefault(size, {}).setdefault(ids[i : i + size].tobytes(), set())
-                if item is not None:
-                    found.add(item)
-        self.factors = np.random.default_rng(7).integers(1, 2**62, window, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.hashes = {
-            size: np.unique(self._hash(np.frombuffer(b"".join(keys), np.int32).reshape(len(keys), size).T))
-            for size, keys in self.windows.items()
-        }
-
-    def _hash(self, columns) -> np.ndarray:
-        """One hash for each window; ``columns`` holds its first words, its second words and so on."""
-        total = np.zeros(len(columns[0]), np.uint64)
-        for factor, column in zip(self.factors, columns, strict=False):
-            total += (column.astype(np.uint64) + np.uint64(1)) * factor
-            total ^= total >> np.uint64(29)
-        return total
+            found.setdefault(size, []).append((at, len(ids) - size + 1, owner))
+            words.append(ids)
+            at += len(ids)
+        self.names = list(number)
+        every = np.concatenate(words) if words else np.zeros(0, np.int32)
+        self.windows = []
+        for size, runs in found.items():
+            starts = np.concatenate([np.arange(a, a + n) for a, n, _ in runs])
+            owners = np.repeat(np.array([o for *_, o in runs], np.int32), [n for _, n, _ in runs])
+            self.windows.append(_Windows(every, starts, owners, size))
 
     def scan(self, words: list[bytes]) -> tuple[np.ndarray, set[str]]:
         """Which words lie in a window of the index, and the items of those windows."""
-        hit, items, n = np.zeros(len(words), bool), set(), len(words)
-        if not n or not self.windows:
-            return hit, items
-        get = self.vocabulary.get
-        ids = np.fromiter((get(w, -1) for w in words), np.int32, n)
-        unknown = np.concatenate(([0], np.cumsum(ids < 0)))
-        for size, hashes in self.hashes.items():
-            if size > n:
-                continue
-            starts = np.flatnonzero(unknown[size:] == unknown[:-size])
-            if not len(starts):
-                continue
-            values = self._hash([ids[starts + j] for j in range(size)])
-            place = np.minimum(np.searchsorted(hashes, values), len(hashes) - 1)
-            exact = self.windows[size]
-            for i in starts[hashes[place] == values]:
-                found = exact.get(ids[i : i + size].tobytes())
-                if found is not None:
-                    hit[i : i + size] = True
-                    items |= found
-        return hit, items
+        n = len(words)
+        edges, items = np.zeros(n + 1, np.int32), set()
+        if n and self.windows:
+            get = self.vocabulary.get
+            ids = np.fromiter((get(w, -1) for w in words), np.int32, n)
+            unknown = np.concatenate(([0], np.cumsum(ids < 0)))
+            for own in self.windows:
+                if own.size > n:
+                    continue
+                starts = np.flatnonzero(unknown[own.size :] == unknown[: -own.size])
+                if not len(starts):
+                    continue
+                starts, place = own.find(ids, starts)
+                np.add.at(edges, starts, 1)
+                np.add.at(edges, starts + own.size, -1)
+                for p in np.unique(place).tolist():
+                    items.update(self.names[i] for i in own.items[own.offsets[p] : own.offsets[p + 1]].tolist())
+        return np.cumsum(edges)[:n] > 0, items
 
 
 def _blocks(rows: DataFrame) -> int:
-    n_bytes = rows.agg(F.sum(F.length("t"))).first()[0] or 0
-    return max(1, math.ceil(n_bytes / 4 / MAX_INDEX_WORDS))
+    n_bytes = rows.agg(F.sum(F.length("t").cast("long"))).first()[0] or 0
+    return max(1, math.ceil(n_bytes / MAX_INDEX_BYTES))
 
 
 def _indexes(spark, benchmark: DataFrame, item_id: str, text: str, window: int):
-    """Broadcast indexes that together hold every item, each of a bounded number of words."""
+    """Broadcast indexes that together hold every item, each of about ``MAX_INDEX_BYTES`` of text; an item is never split."""
     rows = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(text).cast("binary").alias("t"))
     blocks = _blocks(rows)
     for block in range(blocks):
@@ -102,6 +147,64 @@ def _indexes(spark, benchmark: DataFrame, item_id: str, text: str, window: int):
         yield spark.sparkContext.broadcast(NgramIndex([(r["i"], bytes(r["t"]) if r["t"] is not None else None) for r in part.toLocalIterator()], window))
 
 
+SPANS = "array<struct<first:int,after:int>>"
+SPAN_TYPE = pa.list_(pa.struct([("first", pa.int32()), ("after", pa.int32())]))
+
+
+def _spans(hit: np.ndarray) -> list[dict[str, int]]:
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], hit.astype(np.int8), [0])))).tolist()
+    return [{"first": a, "after": b} for a, b in zip(edges[::2], edges[1::2], strict=True)]
+
+
+def text_key(text: Column) -> Column:
+    """Sixteen bytes that stand for a text."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
+def _hits(rows: DataFrame, index) -> DataFrame:
+    """``doc_id, own, n_words, spans, items`` of the rows with a hit; ``own`` stands for the row's text."""
+
+    def make(batch: pa.RecordBatch) -> dict:
+        at, own, n_words, spans, items = [], [], [], [], []
+        for i, value in enumerate(utf8(batch.column("text"))):
+            words = words_of(value)
+            hit, found = index.value.scan(words)
+            if hit.any():
+                at.append(i)
+                own.append(hashlib.md5(value).digest())
+                n_words.append(len(words))
+                spans.append(_spans(hit))
+                items.append(sorted(found))
+        return {"doc_id": batch.column("doc_id").take(pa.array(at, pa.int32())), "own": pa.array(own, pa.binary()), "n_words": pa.array(n_words, pa.int64()), "spans": pa.array(spans, SPAN_TYPE), "items": pa.array(items, pa.list_(pa.string()))}
+
+    return map_rows(rows, make, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, own binary, n_words long, spans {SPANS}, items array<string>")
+
+
+def _hits_in_blocks(rows: DataFrame, indexes) -> DataFrame:
+    """``_hits`` with several indexes, a pass for each; rows with equal id and text have equal hits, which are kept once."""
+    found = None
+    for index in indexes:
+        hits = cut(_hits(rows, index).dropDuplicates(["doc_id", "own"]))
+        index.unpersist()
+        found = hits if found is None else found.unionByName(hits)
+    grouped = found.groupBy("doc_id", "own", "n_words").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+
+    def merge(batch: pa.RecordBatch) -> dict:
+        spans = []
+        for n, own in zip(batch.column("n_words").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+            hit = np.zeros(n, bool)
+            for span in own:
+                hit[span["first"] : span["after"]] = True
+            spans.append(_spans(hit))
+        return {n: batch.column(n) for n in ("doc_id", "own", "n_words")} | {"spans": pa.array(spans, SPAN_TYPE), "items": batch.column("items")}
+
+    return map_rows(grouped, merge, grouped.schema)
+
+
+def _several(benchmark: DataFrame, item_text: str) -> bool:
+    return _blocks(benchmark.select(F.col(item_text).cast("binary").alias("t"))) > 1
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
     """Hits of every document: ``doc_id, text, n_words, spans, items``.
 
@@ -109,33 +212,35 @@ def scan(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: st
     positions; ``items`` are the ids, as strings, of the items with a hit.
     """
     spark = docs.sparkSession
-    small_batches(spark)
-    out = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.lit(0).cast("long").alias("n_words"), F.expr("cast(array() as array<struct<first:int,after:int>>)").alias("spans"), F.expr("cast(array() as array<string>)").alias("items"))
-    schema, first = out.schema, True
-    for index in _indexes(spark, benchmark, item_id, item_text, window):
-
-        def make(batch: pa.RecordBatch, index=index) -> dict:
-            n_words, spans, items = [], [], []
-            for value, old_spans, old_items in zip(utf8(batch.column("text")), batch.column("spans").to_pylist(), batch.column("items").to_pylist(), strict=True):
-                words = words_of(value)
-                hit, found = index.value.scan(words)
-                for span in old_spans:
-                    hit[span["first"] : span["after"]] = True
-                edges = np.flatnonzero(np.diff(np.concatenate(([0], hit.astype(np.int8), [0]))))
-                n_words.append(len(words))
-                spans.append([{"first": int(a), "after": int(b)} for a, b in zip(edges[::2], edges[1::2], strict=True)])
-                items.append(sorted(found.union(old_items)))
-            return {
-                "doc_id": batch.column("doc_id"),
-                "text": batch.column("text"),
-                "n_words": pa.array(n_words, pa.int64()),
-                "spans": pa.array(spans, batch.schema.field("spans").type),
-                "items": pa.array(items, batch.schema.field("items").type),
-            }
+    bound_batches(spark)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    indexes = _indexes(spark, benchmark, item_id, item_text, window)
+    if _several(benchmark, item_text):
+        # The passes keep hits alone, which meet the texts once at the end.
+        found = _hits_in_blocks(rows, indexes).select(F.col("doc_id").alias("hit_id"), "own", "spans", "items").hint("shuffle_hash")
+        counted = map_rows(rows, lambda batch: {"doc_id": batch.column("doc_id"), "text": batch.column("text"), "n_words": pa.array([len(words_of(x)) for x in utf8(batch.column("text"))], pa.int64())}, f"doc_id {kind}, text string, n_words long")
+        joined = counted.join(found, counted["doc_id"].eqNullSafe(found["hit_id"]) & (text_key(counted["text"]) == found["own"]), "left")
+        return joined.select("doc_id", "text", "n_words", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    (index,) = indexes
+
+    def make(batch: pa.RecordBatch) -> dict:
+        n_words, spans, items = [], [], []
+        for value in utf8(batch.column("text")):
+            words = words_of(value)
+            hit, found = index.value.scan(words)
+            n_words.append(len(words))
+            spans.append(_spans(hit))
+            items.append(sorted(found))
+        return {
+            "doc_id": batch.column("doc_id"),
+            "text": batch.column("text"),
+            "n_words": pa.array(n_words, pa.int64()),
+            "spans": pa.array(spans, SPAN_TYPE),
+            "items": pa.array(items, pa.list_(pa.string())),
+        }
 
-        out = map_rows(out if first else cut(out), make, schema)
-        first = False
-    return out
+    return map_rows(rows, make, f"doc_id {kind}, text string, n_words long, spans {SPANS}, items array<string>")
 
 
 def is_contaminated(n_words, n_hit):
@@ -169,12 +274,13 @@ def report(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
 def remove_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
     """``docs`` without its contaminated documents; all columns stay as they are."""
     spark = docs.sparkSession
-    small_batches(spark)
-    if _blocks(benchmark.select(F.col(item_text).cast("binary").alias("t"))) > 1:
-        packed = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"))
-        found = scan(packed, benchmark, "row", "text", item_id, item_text, window)
+    bound_batches(spark)
+    if _several(benchmark, item_text):
+        texts = docs.select(F.lit(0).alias("doc_id"), F.col(text).cast("string").alias("text"))
+        found = _hits_in_blocks(texts, _indexes(spark, benchmark, item_id, item_text, window))
         n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["after"] - s["first"])
-        return found.where(~is_contaminated_column(F.col("n_words"), n_hit)).select("doc_id.*")
+        bad = found.where(is_contaminated_column(F.col("n_words"), n_hit)).select("own")
+        return docs.join(bad, text_key(docs[text].cast("string")) == bad["own"], "left_anti").select(*[docs[c] for c in docs.columns])
     (index,) = _indexes(spark, benchmark, item_id, item_text, window)
 
     def keep(batch: pa.RecordBatch) -> list[bool]:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furlong.llm.common import crc_mod, map_rows, small_batches
+from furlong.llm.common import bound_batches, crc_mod, map_rows
 
 GRAMS = (2, 3, 4)
 #: Expected number of training documents for each language; the n-grams come from their whole texts.
@@ -165,7 +165,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", order: str =
 def identify(docs: DataFrame, model: BitmaskFilter, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id``, the columns of ``keep``, ``lang_pred`` and ``score`` of every whole text."""
     spark = docs.sparkSession
-    small_batches(spark)
+    bound_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     def make(batch: pa.RecordBatch) -> dict:

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furlong.llm.common import map_rows, small_batches, utf8
+from furlong.llm.common import bound_batches, map_rows, utf8
 from furlong.session import cut
 
 BLANK = b" \t\n\v\f\r"
@@ -153,16 +153,14 @@ def keep_bitmaps(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ru
     if rule not in ("common", "first"):
         raise ValueError(f"no such rule: {rule}")
     spark = docs.sparkSession
-    small_batches(spark)
+    bound_batches(spark)
     rows = _lines(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), min_chars)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # The document is part of the range, so a hot line is split; its rows of one document stay together.
     ranged = rows.repartitionByRange(n, "h1", "h2", "doc").sortWithinPartitions("h1", "h2", "doc", "row", "pos")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", docs long, whole boolean, nth long"
-    small_batches(spark, 8192)
     found = ranged.mapInArrow(_stream(min_docs if rule == "common" else 0), schema).withColumn("part", F.spark_partition_id())
     found = cut(found)
-    small_batches(spark)
     # One report for each run at an edge: at most two for each partition.
     runs = found.where("not whole").groupBy("h1", "h2", "part").agg(F.first("docs").alias("docs"), F.count("*").alias("rows")).groupBy("h1", "h2").agg(F.sum("docs").alias("all_docs"), F.min("part").alias("first_part"))
     # The runs at edges are bounded by twice the number of partitions, so they may be broadcast.

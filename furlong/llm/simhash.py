@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furlong.llm.common import map_rows, small_batches, utf8
+from furlong.llm.common import bound_batches, map_rows, utf8
 from furlong.operators.components import connected_components, forest
 from furlong.session import cut
 
@@ -95,7 +95,7 @@ def bucket_keys(prints: np.ndarray) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, fp``: the fingerprint of every whole text as a signed long."""
-    small_batches(docs.sparkSession)
+    bound_batches(docs.sparkSession)
 
     def make(batch: pa.RecordBatch) -> dict:
         prints = np.array([fingerprint(x) for x in utf8(batch.column("text"))], np.uint64)
@@ -169,7 +169,7 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def links(prints: DataFrame, crowd: int = CROWD) -> DataFrame:
     """``src, dst``: edges that connect exactly the distinct fingerprints which are linked, directly or through others."""
     spark = prints.sparkSession
-    small_batches(spark)
+    bound_batches(spark)
     crowded = dict(_crowded(prints, crowd))
     shared = spark.sparkContext.broadcast(crowded)
 
@@ -220,7 +220,7 @@ def fingerprint_text(column: str = "fp"):
 
 def _with_prints(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``row, doc_id, fp``: whole rows as structs, so that no column's name can clash."""
-    small_batches(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col(doc_id).alias("doc_id"))
     schema = rows.withColumn("fp", F.lit(0).cast("long")).schema
 

@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furlong.llm.common import map_rows, small_batches
+from furlong.llm.common import bound_batches, map_rows
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Pre-tokens of a segment, and pre-tokens whose counts a worker remembers.
@@ -157,7 +157,7 @@ def edited_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", e
     The edits come from the column ``edits``, an array of structs (start, end,
     new), or are the redactions that the pattern ``redact`` finds.
     """
-    small_batches(docs.sparkSession)
+    bound_batches(docs.sparkSession)
 
     def make(batch: pa.RecordBatch) -> dict:
         tool, find = counter(ranks), regex.compile(redact)

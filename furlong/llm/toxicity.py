@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furlong.llm.common import keep_rows, map_rows, small_batches
+from furlong.llm.common import bound_batches, keep_rows, map_rows
 from furlong.session import cut
 
 #: Most labelled documents that the model is fitted on; a hash of the id picks them.
@@ -106,7 +106,7 @@ def fit(rows: list[tuple[int, list[int]]], pairs: list[tuple[list[int], list[int
 def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", max_train: int = MAX_TRAIN) -> ToxicityModel:
     """Fit on at most ``max_train`` labelled documents; their words are counted on the executors, and only the chosen words go to the driver."""
     spark = docs.sparkSession
-    small_batches(spark)
+    bound_batches(spark)
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("key")).agg((F.max(label) > 0).cast("int").alias("label"))
     sample = known.orderBy(F.xxhash64(F.col("key").cast("string")), "key").limit(max_train)
     texts = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("key"), F.col(text).alias("text"))
@@ -170,7 +170,7 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
 def score(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, score, predicted`` of every whole text."""
-    small_batches(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make(batch: pa.RecordBatch) -> dict:
@@ -183,6 +183,6 @@ def score(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: s
 
 def remove_toxic(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
     """``docs`` without the documents that the model rejects; all columns stay as they are."""
-    small_batches(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return keep_rows(docs, lambda batch: [shared.value.score(x) < THRESHOLD for x in batch.column(text).to_pylist()])

@@ -34,7 +34,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furlong.llm.common import small_batches
+from furlong.llm.common import bound_batches
 from furlong.llm.storage import Writer, reader
 from furlong.session import cut, shared_folder
 
@@ -251,7 +251,7 @@ CATALOG_SQL = "run long, segment long, file string, n long, keys string"
 def write_archives(pages: DataFrame, folder: str, **options) -> DataFrame:
     """Write the archives of ``pages`` and one sorted index run for each; the runs' catalog, a row for each writing task."""
     spark = pages.sparkSession
-    small_batches(spark)
+    bound_batches(spark)
     rows = decide(pages, **options)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

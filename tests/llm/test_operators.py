@@ -98,7 +98,7 @@ def test_decontamination_in_blocks(docs, spark, monkeypatch):
     benchmark = spark.createDataFrame([(i, " ".join(text[i : i + 14])) for i in range(0, 40, 5)], "item_id long, text string")
     whole = rows(decontamination.report(docs, benchmark), "doc_id", "n_hit", "n_items", "items_sha256")
     kept = rows(decontamination.remove_documents(docs, benchmark))
-    monkeypatch.setattr(decontamination, "MAX_INDEX_WORDS", 40)
+    monkeypatch.setattr(decontamination, "MAX_INDEX_BYTES", 160)
     assert rows(decontamination.report(docs, benchmark), "doc_id", "n_hit", "n_items", "items_sha256") == whole
     assert rows(decontamination.remove_documents(docs, benchmark)) == kept
 
@@ -328,6 +328,15 @@ def test_embeddings(spark, cell, block_dims):
     assert embeddings.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [600, 2_400])
+def test_no_task_holds_more_than_two_parts_of_a_cell(spark, n):
+    table = [(i, [float(x) for x in v]) for i, v in enumerate(np.random.default_rng(n).standard_normal((n, 64)))]
+    df = spark.createDataFrame(table, "vec_id long, embedding array<double>")
+    distinct = embeddings.with_turned(embeddings.distinct_vectors(df, "vec_id", "embedding")[1]).cache()
+    held = embeddings.deal(distinct, 0.95, 16, 2, 100).groupBy("cell", "part").count().agg(F.max("count"), F.count("*")).first()
+    assert held[0] <= 2 * 100 * 1.5 and held[1] > 16
+
+
 # 7
 
 
