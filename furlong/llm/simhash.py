@@ -1,7 +1,7 @@
 """SimHash near-duplicates, filtered by pivot distance tables.
 
-Every distinct fingerprint carries its Hamming distances to many reference
-fingerprints (pivots). By the triangle inequality, two fingerprints that differ
+Every distinct fingerprint carries a column of its Hamming distances to many
+reference fingerprints (pivots), computed once. By the triangle inequality, two fingerprints that differ
 in at most ``MAX_BITS`` bits differ by no more than that in any of these
 distances, so a pair is discarded by the largest difference of its table rows;
 the survivors are verified bit by bit.
@@ -9,7 +9,8 @@ the survivors are verified bit by bit.
 A table filter needs pairs to filter, and all pairs are too many. Fingerprints
 meet here only where they can link at all: of five bands of the 64 bits, at most
 three can differ, so linked fingerprints agree on some two bands. Each
-fingerprint goes to the ten buckets that its pairs of bands name.
+fingerprint goes to the ten buckets that its pairs of bands name. Buckets are
+counted exactly, and crowded ones are split into parts that meet pairwise.
 
 Defined cases: a null or empty text, or one of white space, has fingerprint zero
 and links like any other; repeated rows and equal texts share a fingerprint, and
@@ -25,7 +26,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from furlong.llm.common import bound_batches, map_rows, utf8
@@ -40,10 +41,10 @@ BANDS = (13, 13, 13, 13, 12)
 TABLES = tuple(combinations(range(len(BANDS)), 2))
 #: Reference fingerprints: pseudo-random words from a fixed seed.
 PIVOTS = np.random.default_rng(64).integers(0, 2**64, 24, dtype=np.uint64)
-#: Fingerprints that the search for crowded buckets looks at, whatever their number.
-CROWD_SAMPLE = 65_536
 #: Buckets with more members than this are split, each pair of parts being a task of its own.
 CROWD = 4_096
+#: Crowded buckets whose list (16 bytes each) is broadcast; more are joined by shuffle.
+BROADCAST_BUCKETS = 100_000
 #: Shingles whose bits are counted at a time.
 COUNTED = 65_536
 
@@ -67,10 +68,9 @@ def pivot_table(prints: np.ndarray) -> np.ndarray:
     return np.bitwise_count(prints[None, :] ^ PIVOTS[:, None]).astype(np.int8)
 
 
-def linked_pairs(left: np.ndarray, right: np.ndarray | None = None, chunk: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Positions of the pairs within ``MAX_BITS``: pivots discard, the survivors are verified. Without ``right``, pairs of ``left`` once each."""
-    other = left if right is None else right
-    a_table, b_table = pivot_table(left), pivot_table(other)
+def linked_pairs(left: np.ndarray, a_table: np.ndarray, right: np.ndarray | None = None, b_table: np.ndarray | None = None, chunk: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of the pairs within ``MAX_BITS``: pivot distances discard, the survivors are verified. Without ``right``, pairs of ``left`` once each."""
+    other, b_table = (left, a_table) if right is None else (right, b_table)
     for at in range(0, len(left), chunk):
         part = a_table[:, at : at + chunk]
         alive = np.abs(part[0][:, None] - b_table[0][None, :]) <= MAX_BITS
@@ -86,11 +86,11 @@ def linked_pairs(left: np.ndarray, right: np.ndarray | None = None, chunk: int =
         yield at + i[near], j[near]
 
 
-def bucket_keys(prints: np.ndarray) -> np.ndarray:
-    """The bucket of each fingerprint in each table: table number, then the bits of the two bands."""
-    starts = np.concatenate(([0], np.cumsum(BANDS)))
-    band = [(prints >> np.uint64(s)) & np.uint64((1 << b) - 1) for s, b in zip(starts, BANDS, strict=False)]
-    return np.stack([(np.uint64(t) << np.uint64(26)) | (band[x] << np.uint64(13)) | band[y] for t, (x, y) in enumerate(TABLES)]).astype(np.int64)
+def bucket_keys(fp: str = "fp") -> Column:
+    """The buckets of a fingerprint: table number, then the bits of the table's two bands."""
+    starts = [sum(BANDS[:i]) for i in range(len(BANDS))]
+    band = [F.shiftrightunsigned(fp, s).bitwiseAND(F.lit((1 << b) - 1).cast("long")) for s, b in zip(starts, BANDS, strict=True)]
+    return F.array(*[F.lit(t << 26).cast("long") + F.shiftleft(band[x], 13) + band[y] for t, (x, y) in enumerate(TABLES)])
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -105,27 +105,26 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return map_rows(rows, make, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
 
 
-def _crowded(prints: DataFrame, crowd: int) -> list[tuple[int, int]]:
-    """(key, parts) of crowded buckets, from a sample of bounded size: at most one key for each 8 of 10 x CROWD_SAMPLE sampled rows."""
-    n = prints.count()
-    share = min(1.0, CROWD_SAMPLE / max(n, 1))
-    sample = prints.where((F.xxhash64("fp").cast("double") / 2.0**64 + 0.5) <= share)
-    keys = _keyed(sample).groupBy("key").count().where(F.col("count") >= max(8.0, crowd * share))
-    return [(r["key"], int(np.ceil(r["count"] / share / crowd)) + 1) for r in keys.collect()]
-
+def with_pivots(prints: DataFrame) -> DataFrame:
+    """``fp, pivots``: each fingerprint with its row of the pivot distance table, a byte for each pivot."""
 
-def _keyed(prints: DataFrame) -> DataFrame:
     def make(batch: pa.RecordBatch) -> dict:
         fp = batch.column("fp").to_numpy()
-        return {"key": pa.array(bucket_keys(fp.view(np.uint64)).T.ravel()), "fp": pa.array(np.repeat(fp, len(TABLES)))}
+        table = np.ascontiguousarray(pivot_table(fp.view(np.uint64)).T)
+        return {"fp": batch.column("fp"), "pivots": pa.array([row.tobytes() for row in table], pa.binary())}
+
+    return map_rows(prints.select("fp"), make, "fp long, pivots binary")
+
 
-    return map_rows(prints.select("fp"), make, "key long, fp long")
+def _table_of(pivots: np.ndarray) -> np.ndarray:
+    return np.frombuffer(b"".join(pivots.tolist()), np.int8).reshape(len(pivots), len(PIVOTS)).T
 
 
-def _forest_of(left: np.ndarray, right: np.ndarray | None) -> list[tuple[int, int]]:
+def _forest_of(left: np.ndarray, a: np.ndarray, right: np.ndarray | None = None, b: np.ndarray | None = None) -> list[tuple[int, int]]:
     pairs: list[tuple[int, int]] = []
     other = left if right is None else right
-    for i, j in linked_pairs(left.view(np.uint64), None if right is None else right.view(np.uint64)):
+    found = linked_pairs(left.view(np.uint64), _table_of(a)) if right is None else linked_pairs(left.view(np.uint64), _table_of(a), right.view(np.uint64), _table_of(b))
+    for i, j in found:
         pairs += zip(left[i].tolist(), other[j].tolist(), strict=True)
         if len(pairs) > 200_000:
             pairs = forest(pairs)
@@ -134,26 +133,28 @@ def _forest_of(left: np.ndarray, right: np.ndarray | None) -> list[tuple[int, in
 
 def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Edges that connect what is linked within each bucket. The rows come sorted by bucket and part."""
-    held = [np.zeros(0, np.int64)] * 4
+    names = ("key", "part", "side", "fp", "pivots")
+    held: list[np.ndarray] = [np.zeros(0, np.int64)] * 4 + [np.zeros(0, object)]
 
     def bucket(own: list[np.ndarray]):
-        _, _, side, fp = own
+        _, _, side, fp, pivots = own
         if side[0] < 0:
-            return _forest_of(fp, None)
-        return _forest_of(fp[side == 0], fp[side == 1])
+            return _forest_of(fp, pivots)
+        first, second = side == 0, side == 1
+        return _forest_of(fp[first], pivots[first], fp[second], pivots[second]) if first.any() and second.any() else []
 
     def emit(rows: list[np.ndarray]):
         key, part = rows[0], rows[1]
         cuts = np.flatnonzero((key[1:] != key[:-1]) | (part[1:] != part[:-1])) + 1
         starts, ends = np.concatenate(([0], cuts)), np.append(cuts, len(key))
+        several = ends - starts > 1
         out: list[tuple[int, int]] = []
-        for a, b in zip(starts, ends, strict=True):
-            if b - a > 1:
-                out += bucket([x[a:b] for x in rows])
+        for a, b in zip(starts[several], ends[several], strict=True):
+            out += bucket([x[a:b] for x in rows])
         return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["src", "dst"])
 
     for batch in batches:
-        rows = [np.concatenate((h, batch.column(n).to_numpy())) for h, n in zip(held, ("key", "part", "side", "fp"), strict=True)]
+        rows = [np.concatenate((h, batch.column(n).to_numpy(zero_copy_only=False))) for h, n in zip(held, names, strict=True)]
         if not len(rows[0]):
             continue
         # The last bucket may go on in the next batch.
@@ -170,30 +171,18 @@ def links(prints: DataFrame, crowd: int = CROWD) -> DataFrame:
     """``src, dst``: edges that connect exactly the distinct fingerprints which are linked, directly or through others."""
     spark = prints.sparkSession
     bound_batches(spark)
-    crowded = dict(_crowded(prints, crowd))
-    shared = spark.sparkContext.broadcast(crowded)
-
-    def deal(batch: pa.RecordBatch) -> dict:
-        """A crowded bucket's member meets its own part (side -1) and, as side 0 or 1, each other part."""
-        key, fp = batch.column("key").to_numpy(), batch.column("fp").to_numpy()
-        hot = np.isin(key, np.fromiter(shared.value, np.int64, len(shared.value))) if shared.value else np.zeros(len(key), bool)
-        cold = int((~hot).sum())
-        out = [key[~hot], np.full(cold, -1, np.int64), np.full(cold, -1, np.int64), fp[~hot]]
-        extra: list[tuple[int, int, int, int]] = []
-        for k, f in zip(key[hot].tolist(), fp[hot].tolist(), strict=True):
-            parts = shared.value[k]
-            own = xxhash.xxh64_intdigest(f.to_bytes(8, "little", signed=True)) % parts
-            for other in range(parts):
-                low, high = min(own, other), max(own, other)
-                extra.append((k, low * parts + high, -1 if own == other else int(own == high), f))
-        if extra:
-            out = [np.concatenate((x, np.array(y, np.int64))) for x, y in zip(out, zip(*extra, strict=True), strict=True)]
-        return dict(zip(("key", "part", "side", "fp"), map(pa.array, out), strict=True))
-
-    rows = _keyed(prints)
-    rows = map_rows(rows, deal, "key long, part long, side long, fp long")
+    known = cut(with_pivots(prints))
+    keys = known.select(F.explode(bucket_keys()).alias("key"))
+    crowded = cut(keys.groupBy("key").count().where(F.col("count") > crowd).select(F.col("key").alias("hot"), F.ceil(F.col("count") / crowd + 1).cast("long").alias("parts")))
+    few = crowded.count() <= BROADCAST_BUCKETS
+    rows = known.select(F.explode(bucket_keys()).alias("key"), "fp", "pivots")
+    rows = rows.join(F.broadcast(crowded) if few else crowded, rows["key"] == crowded["hot"], "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
+    # A member meets its own part (side -1) and, as side 0 or 1, each other part.
+    dealt = rows.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("parts"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    side = F.when(F.col("own") == F.col("other"), -1).when(F.col("own") > F.col("other"), 1).otherwise(0).cast("long")
+    dealt = dealt.select("key", (F.least("own", "other") * F.col("parts") + F.greatest("own", "other")).alias("part"), side.alias("side"), "fp", "pivots")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n, "key", "part").sortWithinPartitions("key", "part").mapInArrow(_edges, "src long, dst long")
+    return dealt.repartition(n, "key", "part").sortWithinPartitions("key", "part").mapInArrow(_edges, "src long, dst long")
 
 
 def _classes(docs: DataFrame, doc_id: str, text: str, crowd: int) -> DataFrame:
@@ -253,5 +242,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     reused = shared.where("kept_id is not null").select("kept_id").distinct()
     several = docs.join(reused, docs[doc_id] == reused["kept_id"], "left_semi").unionByName(docs.where(docs[doc_id].isNull()))
     rows = _with_prints(several, doc_id, text)
-    again = rows.join(shared, rows["fp"].eqNullSafe(shared["kept_fp"]) & rows["doc_id"].eqNullSafe(shared["kept_id"])).select("row", "c").dropDuplicates(["c"])
+    again = rows.join(shared, rows["fp"].eqNullSafe(shared["kept_fp"]) & rows["doc_id"].eqNullSafe(shared["kept_id"])).select("row", "c")
+    # Of several rows that would do, the one whose values hash lowest, so that reruns agree.
+    again = again.groupBy("c").agg(F.min_by("row", F.sha2(F.to_json("row"), 256)).alias("row"))
     return once.unionByName(again.select("row.*"))
