@@ -12,7 +12,8 @@ Defined cases: a null or empty page has an empty payload, which is equal to any
 other empty payload; repeated rows are captures of their own (those that
 repeat a response's id and payload are responses too); a row without an id is never the
 response of another, but is a response itself if no row with an id has its
-payload; a null or relative URL is keyed by its text as it is. Payloads smaller
+payload; an id that is no whole number is an error; a null or relative URL is keyed
+by its text as it is. Payloads smaller
 than ``min_bytes`` are always responses. Only the named columns are read.
 """
 
@@ -34,8 +35,8 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furlong.llm.common import bound_batches
-from furlong.llm.storage import Writer, reader
+from furlong.llm.common import bound_batches, long_id
+from furlong.llm.storage import Writer, reader, remove_folder
 from furlong.session import cut, shared_folder
 
 #: Runs that one merge opens, captures in one block of a run, and captures for each range of keys.
@@ -125,7 +126,7 @@ def record_id(text: str | None) -> int | None:
 def decide(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", ts: str | None = None, min_bytes: int = 0) -> DataFrame:
     """``page_id, url, ts, payload, digest, size, refers_to``; the payload of a revisit is null, its digest is not."""
     rows = pages.select(
-        F.col(page_id).cast("long").alias("page_id"),
+        long_id(pages, page_id).alias("page_id"),
         F.col(url).cast("string").alias("url"),
         (F.col(ts).cast("string") if ts else F.lit(None).cast("string")).alias("ts"),
         F.coalesce(F.col(html).cast("string"), F.lit("")).cast("binary").alias("payload"),
@@ -143,8 +144,8 @@ def order(row: tuple) -> tuple:
 
 
 def write_segment(uri: str, rows: Iterator[tuple]) -> tuple[int, list[tuple]]:
-    """Write sorted index rows in blocks; their number and some of their sort keys, evenly spaced."""
-    n, keys, step = 0, [], 1
+    """Write sorted index rows in blocks; their number and some of their sort keys, evenly spaced, the first and the last among them."""
+    n, keys, step, row = 0, [], 1, None
     with Writer(uri) as out:
         sink = pq.ParquetWriter(pa.PythonFile(_Sink(out), mode="w"), RUN)
         while block := [row for _, row in zip(range(BLOCK), rows)]:  # noqa: B905  the last block may be short
@@ -156,6 +157,8 @@ def write_segment(uri: str, rows: Iterator[tuple]) -> tuple[int, list[tuple]]:
                 n += 1
             sink.write_table(pa.Table.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*block, strict=True), RUN, strict=True)], schema=RUN), row_group_size=BLOCK)
         sink.close()
+    if row is not None and keys[-1] != order(row):
+        keys.append(order(row))
     return n, keys
 
 
@@ -252,7 +255,8 @@ def write_archives(pages: DataFrame, folder: str, **options) -> DataFrame:
     """Write the archives of ``pages`` and one sorted index run for each; the runs' catalog, a row for each writing task."""
     spark = pages.sparkSession
     bound_batches(spark)
-    rows = decide(pages, **options)
+    # Rows come in one order, whatever order they were fetched in, so a second attempt writes the same bytes.
+    rows = decide(pages, **options).sortWithinPartitions("digest", F.asc_nulls_first("page_id"), F.asc_nulls_first("url"), F.asc_nulls_first("ts"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -299,7 +303,9 @@ def merge_runs(catalog: DataFrame, folder: str, fan_in: int = FAN_IN, range_rows
             ranges = max(1, min(-(-total // range_rows), len(keys)))
             bounds = [None, *sorted({keys[len(keys) * i // ranges] for i in range(1, ranges)}), None]
             for i, (low, high) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-                tasks.append((group // fan_in, i, json.dumps({"low": low, "high": high, "runs": [[file for file, _, _ in run] for run in own], "level": level})))
+                # Of each run, the segments that reach into the range.
+                files = [[file for file, _, seg_keys in run if seg_keys and (low is None or seg_keys[-1] >= low) and (high is None or seg_keys[0] < high)] for run in own]
+                tasks.append((group // fan_in, i, json.dumps({"low": low, "high": high, "runs": [run for run in files if run], "level": level})))
         if not tasks:
             return catalog.select("*", F.lit(0).cast("long").alias("start"))
 
@@ -374,7 +380,7 @@ def _batch(names, rows):
 
 
 def report(pages: DataFrame, **options) -> DataFrame:
-    """Write, merge and read back: ``page_id, payload_bytes, payload_digest, record_type, refers_to, url_key, capture_no``."""
+    """Write, merge, read back and remove the files: ``page_id, payload_bytes, payload_digest, record_type, refers_to, url_key, capture_no``."""
     spark = pages.sparkSession
     folder = shared_folder(spark, "warc")
     runs = write_archives(pages, folder, **options)
@@ -382,7 +388,10 @@ def report(pages: DataFrame, **options) -> DataFrame:
     archives = runs.select(F.concat(F.lit(f"{folder}/archive/"), F.lpad(F.col("run").cast("string"), 6, "0"), F.lit(".warc.gz")).alias("file"))
     found = read_archives(archives).drop("html", "url")
     # Both sides grow with the collection; what they are made from is small, so the planner would take them to be small.
-    return found.join(merged.hint("merge"), ["file", "offset"]).select("page_id", F.col("size").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", "refers_to", "url_key", "capture_no")
+    out = found.join(merged.hint("merge"), ["file", "offset"]).select("page_id", F.col("size").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", "refers_to", "url_key", "capture_no")
+    out = cut(out)
+    remove_folder(folder)
+    return out
 
 
 def _base32_sql(digest: str) -> str:
