@@ -1,15 +1,22 @@
 """Token counts that follow edits.
 
-A document's text is held as segments that begin at pre-token boundaries, under a
-tree of sums (characters and tokens). An edit goes down the tree to the segments
-it touches, takes the boundary context in, pre-tokenizes that stretch again until
-its boundaries meet the old ones, and updates the sums above; the rest of the
-document is neither read nor encoded again.
-
-Defined cases: a null or empty text counts 0; edits are applied from the last to
-the first, their places being those of the unedited text, and must not overlap;
-an edit of a null text is ignored; texts of any length are counted whole; repeated
-rows are counted one by one. Only the named columns are read.
+``build`` keeps a tree for each document, as a row of a table: the document's text
+as segments that begin at pre-token boundaries, with the tokens of each; the sums
+above them (characters and tokens) follow from these numbers alone. ``apply_edits``
+takes such a table and edits, and returns the table after them. An edit goes down
+the tree to the segments it touches, takes the boundary context in, pre-tokenizes
+that stretch again until its boundaries meet the old ones, and updates the sums
+above; the rest of the document is not encoded again. The new table can be written
+in place of the old one and edited later.
+
+Defined cases: a null or empty text counts 0; places are those of the text before
+all edits of one call, which take effect together; of edits at one place, those
+of the smaller end and then of the lesser text come first. An edit is refused, and
+counted as such, if its text or a place of it is null, if it reaches outside the
+text, if it begins before the end of another that comes first, or if the text is
+null. Edits of unknown documents are ignored; rows that share an id get the same
+edits; texts of any length are counted whole; repeated rows are counted one by one.
+Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -23,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from furlong.llm.common import bound_batches, map_rows
+from furlong.llm.storage import remove_folder
+from furlong.session import cut, shared_folder
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Pre-tokens of a segment, and pre-tokens whose counts a worker remembers.
@@ -57,24 +66,44 @@ class Counter:
         return n
 
 
+def segments(text: str, counter: Counter, segment: int = SEGMENT) -> tuple[list[str], list[int]]:
+    """A text cut at every so many pre-tokens, and the tokens of each part."""
+    pieces = counter.pattern.findall(text)
+    known, count = counter.known, counter.count
+    tokens = np.array([known.get(p) or count(p) for p in pieces], np.int64)
+    starts = np.arange(0, len(pieces), segment)
+    return ["".join(pieces[i : i + segment]) for i in starts.tolist()], (np.add.reduceat(tokens, starts) if len(pieces) else tokens).tolist()
+
+
+def accept(edits: list[tuple], n_chars: int) -> list[tuple[int, int, str]]:
+    """The edits that are not refused, in order."""
+    sound = sorted(e for e in edits if None not in e and 0 <= e[0] <= e[1] <= n_chars)
+    out: list[tuple[int, int, str]] = []
+    for edit in sound:
+        if not out or edit[0] >= out[-1][1]:
+            out.append(edit)
+    return out
+
+
 class CountTree:
     """Segments of a text under sums of their characters and tokens."""
 
-    def __init__(self, text: str, counter: Counter, segment: int = SEGMENT):
+    def __init__(self, texts: list[str], tokens: list[int], counter: Counter):
         self.counter, self.reencoded = counter, 0
-        pieces = counter.pattern.findall(text)
-        known, count = counter.known, counter.count
-        tokens = [known.get(p) or count(p) for p in pieces]
-        self.texts = ["".join(pieces[i : i + segment]) for i in range(0, len(pieces), segment)] or [""]
+        self.texts = list(texts) or [""]
         self.leaves = 1 << (len(self.texts) - 1).bit_length()
         self.sums = np.zeros((2, 2 * self.leaves), np.int64)
-        starts = np.arange(0, len(pieces), segment)
-        if len(pieces):
-            self.sums[1, self.leaves : self.leaves + len(starts)] = np.add.reduceat(np.array(tokens, np.int64), starts)
         self.sums[0, self.leaves : self.leaves + len(self.texts)] = [len(t) for t in self.texts]
+        self.sums[1, self.leaves : self.leaves + len(tokens)] = tokens
         for first in _levels(self.leaves):
             self.sums[:, first : 2 * first] = self.sums[:, 2 * first : 4 * first].reshape(2, first, 2).sum(2)
 
+    def kept(self) -> tuple[list[str], list[int]]:
+        """The segments that hold text, and their tokens."""
+        tokens = self.sums[1, self.leaves : self.leaves + len(self.texts)].tolist()
+        own = [(t, n) for t, n in zip(self.texts, tokens, strict=True) if t]
+        return [t for t, _ in own], [n for _, n in own]
+
     @property
     def total(self) -> int:
         return int(self.sums[1, 1])
@@ -151,32 +180,76 @@ def counter(ranks: str) -> Counter:
     return _counters[ranks]
 
 
-def edited_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edits: str | None = None, redact: str = REDACT, placeholder: str = PLACEHOLDER, ranks: str = RANKS) -> DataFrame:
-    """``doc_id, n_chars, n_tokens, n_edits, n_tokens_after, n_chars_reencoded`` of every document.
+def build(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ranks: str = RANKS, segment: int = SEGMENT) -> DataFrame:
+    """``doc_id, n_chars, n_tokens, texts, tokens``: the tree of every document; ``texts`` is null where the text is."""
+    bound_batches(docs.sparkSession)
+
+    def make(batch: pa.RecordBatch) -> dict:
+        tool, values = counter(ranks), batch.column("text").to_pylist()
+        trees = [segments(v or "", tool, segment) for v in values]
+        return {
+            "doc_id": batch.column("doc_id"),
+            "n_chars": pa.array([len(v or "") for v in values], pa.int64()),
+            "n_tokens": pa.array([sum(t) for _, t in trees], pa.int64()),
+            "texts": pa.array([None if v is None else t for v, (t, _) in zip(values, trees, strict=True)], pa.list_(pa.string())),
+            "tokens": pa.array([t for _, t in trees], pa.list_(pa.int64())),
+        }
+
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return map_rows(rows, make, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_chars long, n_tokens long, texts array<string>, tokens array<long>")
 
-    The edits come from the column ``edits``, an array of structs (start, end,
-    new), or are the redactions that the pattern ``redact`` finds.
+
+def apply_edits(trees: DataFrame, edits: DataFrame | None = None, redact: str = REDACT, placeholder: str = PLACEHOLDER, ranks: str = RANKS) -> DataFrame:
+    """The trees after their edits: ``doc_id, n_chars, n_tokens, texts, tokens``, and ``n_tokens_before, n_edits, n_refused, n_chars_reencoded``.
+
+    ``edits`` has a row ``doc_id, start, end, new`` for each; without it, the edits
+    are the redactions that the pattern ``redact`` finds.
     """
-    bound_batches(docs.sparkSession)
+    bound_batches(trees.sparkSession)
+    rows = trees.select("doc_id", "n_tokens", "texts", "tokens")
+    if edits is not None:
+        own = edits.groupBy(F.col("doc_id").alias("edited")).agg(F.collect_list(F.struct(F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), F.col("new").cast("string").alias("new"))).alias("edits"))
+        rows = rows.join(own, rows["doc_id"].eqNullSafe(own["edited"]), "left").drop("edited")
+    given = edits is not None
 
     def make(batch: pa.RecordBatch) -> dict:
         tool, find = counter(ranks), regex.compile(redact)
-        given = batch.column("edits").to_pylist() if edits else None
-        out: dict[str, list[int]] = {n: [] for n in ("n_chars", "n_tokens", "n_edits", "n_tokens_after", "n_chars_reencoded")}
-        for i, value in enumerate(batch.column("text").to_pylist()):
-            value = value or ""
-            tree = CountTree(value, tool)
-            if given is not None:
-                changes = [(e["start"], e["end"], e["new"]) for e in given[i] or [] if value]
+        asked = batch.column("edits").to_pylist() if given else None
+        out: dict[str, list] = {n: [] for n in ("n_chars", "n_tokens", "texts", "tokens", "n_edits", "n_refused", "n_chars_reencoded")}
+        for i, (texts, tokens) in enumerate(zip(batch.column("texts").to_pylist(), batch.column("tokens").to_pylist(), strict=True)):
+            n_chars = sum(map(len, texts or []))
+            if given:
+                changes = [(e["start"], e["end"], e["new"]) for e in asked[i] or []]
+                good = accept(changes, n_chars) if texts is not None else []
             else:
-                changes = [(*m.span(), placeholder) for m in find.finditer(value)]
-            row = [len(value), tree.total, len(changes)]
-            for change in sorted(changes, reverse=True):
-                tree.edit(*change)
-            for n, x in zip(out, [*row, tree.total, tree.reencoded], strict=True):
-                out[n].append(x)
-        return {"doc_id": batch.column("doc_id")} | {n: pa.array(x, pa.int64()) for n, x in out.items()}
-
-    columns = [F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *([F.col(edits).alias("edits")] if edits else [])]
-    rows = docs.select(*columns)
-    return map_rows(rows, make, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_chars long, n_tokens long, n_edits long, n_tokens_after long, n_chars_reencoded long")
+                changes = good = [(*m.span(), placeholder) for m in find.finditer("".join(texts or []))]
+            reencoded, n_tokens = 0, sum(tokens)
+            if good:
+                tree = CountTree(texts, tokens, tool)
+                for change in reversed(good):
+                    tree.edit(*change)
+                texts, tokens = tree.kept()
+                reencoded, n_tokens, n_chars = tree.reencoded, tree.total, int(tree.sums[0, 1])
+            for name, x in zip(out, (n_chars, n_tokens, texts, tokens, len(good), len(changes) - len(good), reencoded), strict=True):
+                out[name].append(x)
+        kinds = {"texts": pa.list_(pa.string()), "tokens": pa.list_(pa.int64())}
+        return {"doc_id": batch.column("doc_id")} | {n: pa.array(x, kinds.get(n, pa.int64())) for n, x in out.items()} | {"n_tokens_before": batch.column("n_tokens")}
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return map_rows(rows, make, f"doc_id {kind}, n_chars long, n_tokens long, texts array<string>, tokens array<long>, n_edits long, n_refused long, n_chars_reencoded long, n_tokens_before long")
+
+
+def text_of(trees: DataFrame) -> DataFrame:
+    """``doc_id, text`` of the trees."""
+    return trees.select("doc_id", F.array_join("texts", "").alias("text"))
+
+
+def edited_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edits: DataFrame | None = None, redact: str = REDACT, placeholder: str = PLACEHOLDER, ranks: str = RANKS) -> DataFrame:
+    """Build the trees of ``docs``, write them, and apply the edits to the written table: ``doc_id, n_tokens, n_edits, n_refused, n_chars_after, n_tokens_after, n_chars_reencoded``."""
+    spark = docs.sparkSession
+    folder = shared_folder(spark, "trees")
+    build(docs, doc_id, text, ranks).write.parquet(folder)
+    after = apply_edits(spark.read.parquet(folder), edits, redact, placeholder, ranks)
+    out = cut(after.select("doc_id", F.col("n_tokens_before").alias("n_tokens"), "n_edits", "n_refused", F.col("n_chars").alias("n_chars_after"), F.col("n_tokens").alias("n_tokens_after"), "n_chars_reencoded"))
+    remove_folder(folder)
+    return out
