@@ -1,15 +1,18 @@
 """Toxicity: a counterfactual-regularised linear classifier.
 
-A logistic model over the words of a text and their beginnings. For every labelled sentence that names
-a group, a counterfactual is made by swapping the group's term for another of its
-kind; training penalises the squared change of the score, so that the mention of
-a group by itself does not move it.
+A logistic model over the words of a text and their beginnings. For every labelled
+sentence that names a group, a counterfactual is made by swapping the group's term
+for another of its kind and language; training penalises the squared change of the
+score, so that the mention of a group by itself does not move it. The penalty is a
+quadratic form of the weights, whose matrix is summed on the executors over all
+such sentences.
 
 Defined cases: a null or empty text has the score of a text without any known
 word; a text of any length is scored whole; repeated words count once; a labelled
 row whose label or text is null is not learned from; several labels of one
 document count as toxic if one of them is; with no labelled rows, or labels of
-one kind only, the score of every text is that share. Only the named columns
+one kind only, the score of every text is that share. A sentence that names
+several groups has all of them swapped at once. Only the named columns
 are read.
 """
 
@@ -28,26 +31,38 @@ from furlong.session import cut
 
 #: Most labelled documents that the model is fitted on; a hash of the id picks them.
 MAX_TRAIN = 20_000
-#: Most features of the model, those that go furthest with the label; each must reach this chi-squared statistic.
+#: Size of the model: most features besides the terms below, those that go furthest with the label; each must be in so many documents and reach this chi-squared statistic.
 MAX_WORDS = 300
 MIN_CHI2 = 15.0
 MIN_DOCS = 3
-#: Sentences that name a group, for counterfactuals, of all training documents together.
-MAX_PAIRS = 20_000
 #: Weight of the penalty on score changes and of the squared weights.
 LAMBDA = 1.0
 RIDGE = 0.3
 THRESHOLD = 0.3
 
-#: Terms that name groups of people, by kind; a counterfactual takes the next term of its kind.
-IDENTITY = {
-    "gender": ("woman", "man", "women", "men", "girl", "boy", "girls", "boys", "female", "male", "transgender", "nonbinary"),
-    "religion": ("muslim", "christian", "jew", "hindu", "buddhist", "sikh", "atheist", "catholic", "muslims", "christians", "jews", "hindus", "buddhists", "sikhs", "atheists", "catholics", "jewish", "islamic"),
-    "origin": ("black", "white", "asian", "latino", "arab", "african", "european", "indian", "chinese", "mexican", "american", "immigrant", "refugee", "immigrants", "refugees"),
-    "orientation": ("gay", "straight", "lesbian", "heterosexual", "bisexual", "queer", "homosexual"),
-    "age and health": ("old", "young", "elderly", "disabled", "blind", "deaf", "autistic"),
-}
-SWAP = {term: terms[(i + 1) % len(terms)] for terms in IDENTITY.values() for i, term in enumerate(terms)}
+#: Terms that name groups of people, by language and kind; a counterfactual takes the next term of its kind. A parameter of ``learn``.
+IDENTITY = (
+    ("woman", "man"), ("women", "men"), ("girl", "boy"), ("girls", "boys"), ("female", "male", "transgender", "nonbinary"),
+    ("muslim", "christian", "jew", "hindu", "buddhist", "sikh", "atheist"), ("muslims", "christians", "jews", "hindus", "buddhists", "sikhs", "atheists"), ("jewish", "islamic", "catholic"),
+    ("black", "white", "asian", "latino", "arab", "african", "european", "indian", "chinese", "mexican", "american"), ("immigrant", "refugee"), ("immigrants", "refugees"),
+    ("gay", "straight", "lesbian", "heterosexual", "bisexual", "homosexual"), ("old", "young"), ("disabled", "blind", "deaf", "autistic"),
+    ("femme", "homme"), ("femmes", "hommes"), ("fille", "garçon"), ("filles", "garçons"), ("musulman", "chrétien", "juif", "bouddhiste"), ("musulmans", "chrétiens", "juifs", "bouddhistes"),
+    ("noir", "blanc", "arabe", "africain", "asiatique"), ("immigré", "réfugié"), ("immigrés", "réfugiés"), ("homosexuel", "hétérosexuel"), ("vieux", "jeune"), ("aveugle", "sourd", "handicapé"),
+    ("frau", "mann"), ("frauen", "männer"), ("mädchen", "junge"), ("muslim", "christ", "jude", "buddhist"), ("muslime", "christen", "juden", "buddhisten"),
+    ("schwarze", "weiße", "araber", "afrikaner", "asiate"), ("einwanderer", "flüchtling"), ("schwul", "lesbisch", "heterosexuell"), ("alte", "junge"), ("blinde", "gehörlose", "behinderte"),
+    ("mujer", "hombre"), ("mujeres", "hombres"), ("niña", "niño"), ("niñas", "niños"), ("musulmán", "cristiano", "judío", "budista"), ("musulmanes", "cristianos", "judíos", "budistas"),
+    ("negro", "blanco", "árabe", "africano", "asiático"), ("inmigrante", "refugiado"), ("inmigrantes", "refugiados"), ("homosexual", "heterosexual"), ("viejo", "joven"), ("ciego", "sordo", "discapacitado"),
+)
+
+
+def swaps(kinds: tuple[tuple[str, ...], ...] = IDENTITY) -> dict[str, str]:
+    """The next term of its kind for every term; a term of several kinds follows the first."""
+    out: dict[str, str] = {}
+    for terms in kinds:
+        for i, term in enumerate(terms):
+            out.setdefault(term, terms[(i + 1) % len(terms)])
+    return out
+
 
 #: Lengths of the beginnings of words that are features, too; they catch inflected and compound forms.
 PREFIXES = (4, 5, 6)
@@ -65,9 +80,9 @@ def features(words: set[str]) -> set[str]:
     return words | {f"^{w[:k]}" for k in PREFIXES for w in words if len(w) > k}
 
 
-def counterfactual(words: set[str]) -> set[str]:
+def counterfactual(words: set[str], swap: dict[str, str]) -> set[str]:
     """The words with each term that names a group swapped for the next of its kind."""
-    return {SWAP.get(w, w) for w in words}
+    return {swap.get(w, w) for w in words}
 
 
 class ToxicityModel:
@@ -79,18 +94,31 @@ class ToxicityModel:
         return float(1 / (1 + np.exp(-np.clip(total, -30, 30))))
 
 
-def fit(rows: list[tuple[int, list[int]]], pairs: list[tuple[list[int], list[int]]], n_words: int, weight: float = LAMBDA, ridge: float = RIDGE) -> tuple[np.ndarray, float]:
-    """Newton's method on the log loss, plus ``ridge`` times the squared weights, plus ``weight`` times the squared score changes of the pairs."""
+def change_of(before: set[str], after: set[str], place: dict[str, int]) -> list[tuple[int, int]]:
+    """What a swap does to the features of the model: (feature, 1 if it goes, -1 if it comes)."""
+    own, other = features(before), features(after)
+    return [*((place[w], 1) for w in own - other if w in place), *((place[w], -1) for w in other - own if w in place)]
+
+
+def squares(changes, n_words: int) -> np.ndarray:
+    """The sum of the outer squares of sparse changes."""
+    out = np.zeros((n_words, n_words))
+    for change in changes:
+        for i, x in change:
+            for j, y in change:
+                out[i, j] += x * y
+    return out
+
+
+def fit(rows: list[tuple[int, list[int]]], changes: np.ndarray, n_words: int, weight: float = LAMBDA, ridge: float = RIDGE) -> tuple[np.ndarray, float]:
+    """Newton's method on the log loss, plus ``ridge`` times the squared weights, plus ``weight`` times the squared score changes, whose ``squares`` are ``changes``."""
     x = np.zeros((len(rows), n_words + 1), np.float32)
     x[:, n_words] = 1
     for i, (_, own) in enumerate(rows):
         x[i, own] = 1
     y = np.array([label for label, _ in rows], np.float64)
-    change = np.zeros((len(pairs), n_words + 1), np.float32)
-    for i, (before, after) in enumerate(pairs):
-        change[i, before] += 1
-        change[i, after] -= 1
-    penalty = 2 * weight * (change.T @ change).astype(np.float64) + np.diag([2 * ridge] * n_words + [1e-6])
+    penalty = np.diag([2 * ridge] * n_words + [1e-6])
+    penalty[:n_words, :n_words] += 2 * weight * changes
     w = np.zeros(n_words + 1)
     for _ in range(12):
         p = 1 / (1 + np.exp(-np.clip(x @ w.astype(np.float32), -30, 30)))
@@ -103,10 +131,11 @@ def fit(rows: list[tuple[int, list[int]]], pairs: list[tuple[list[int], list[int
     return w[:n_words], w[n_words]
 
 
-def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", max_train: int = MAX_TRAIN) -> ToxicityModel:
-    """Fit on at most ``max_train`` labelled documents; their words are counted on the executors, and only the chosen words go to the driver."""
+def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", max_train: int = MAX_TRAIN, identity: tuple[tuple[str, ...], ...] = IDENTITY) -> ToxicityModel:
+    """Fit on at most ``max_train`` labelled documents; their words and swaps are counted on the executors, and only the chosen words and the sums go to the driver."""
     spark = docs.sparkSession
     bound_batches(spark)
+    swap = swaps(identity)
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("key")).agg((F.max(label) > 0).cast("int").alias("label"))
     sample = known.orderBy(F.xxhash64(F.col("key").cast("string")), "key").limit(max_train)
     texts = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("key"), F.col(text).alias("text"))
@@ -115,11 +144,8 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
     def tokens(batch: pa.RecordBatch) -> dict:
         values = batch.column("text").to_pylist()
-        swaps = []
-        for value in values:
-            named = [sorted(w) for s in SENTENCE.split(value) if not SWAP.keys().isdisjoint(w := words_of(s))]
-            swaps.append(named)
-        return {"label": batch.column("label"), "words": pa.array([sorted(words_of(v)) for v in values], pa.list_(pa.string())), "sentences": pa.array(swaps, pa.list_(pa.list_(pa.string())))}
+        named = [[sorted(w) for s in SENTENCE.split(value) if not swap.keys().isdisjoint(w := words_of(s))] for value in values]
+        return {"label": batch.column("label"), "words": pa.array([sorted(words_of(v)) for v in values], pa.list_(pa.string())), "sentences": pa.array(named, pa.list_(pa.list_(pa.string())))}
 
     rows = cut(map_rows(rows, tokens, "label int, words array<string>, sentences array<array<string>>"))
     n, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
@@ -149,7 +175,7 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         .orderBy(F.desc("chi2"), "word")
         .limit(MAX_WORDS)
     )
-    words = sorted({r["word"] for r in chosen.collect()} | SWAP.keys())
+    words = sorted({r["word"] for r in chosen.collect()} | swap.keys())
     place = {w: i for i, w in enumerate(words)}
 
     def sparse(batch: pa.RecordBatch) -> dict:
@@ -157,14 +183,24 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         return {"label": batch.column("label"), "own": pa.array(own, pa.list_(pa.int32()))}
 
     found = [(r["label"], list(r["own"])) for r in map_rows(rows.select("label", "words"), sparse, "label int, own array<int>").collect()]
-    pairs = []
-    for r in rows.select(F.explode("sentences").alias("s")).limit(MAX_PAIRS).collect():
-        before, after = features(set(r["s"])), features(counterfactual(set(r["s"])))
-        pairs.append(([place[w] for w in before if w in place], [place[w] for w in after if w in place]))
     found.sort()
-    # One bare pair for each term keeps groups alike that no labelled sentence names.
-    pairs += [([place[a]], [place[b]]) for a, b in SWAP.items()]
-    weights, bias = fit(found, pairs, len(words))
+
+    def changed(batch: pa.RecordBatch) -> dict:
+        total = Counter()
+        for sentences in batch.column("sentences").to_pylist():
+            for sentence in sentences:
+                own = change_of(set(sentence), counterfactual(set(sentence), swap), place)
+                for i, x in own:
+                    for j, y in own:
+                        total[i, j] += x * y
+        return {"i": pa.array([k[0] for k in total], pa.int32()), "j": pa.array([k[1] for k in total], pa.int32()), "n": pa.array(total.values(), pa.int64())}
+
+    # One bare swap for each term keeps groups alike that no labelled sentence names.
+    changes = squares((change_of({a}, {b}, place) for a, b in swap.items()), len(words))
+    # At most a number for each two features.
+    for r in map_rows(rows.select("sentences"), changed, "i int, j int, n long").groupBy("i", "j").agg(F.sum("n").alias("n")).collect():
+        changes[r["i"], r["j"]] += r["n"]
+    weights, bias = fit(found, changes, len(words))
     return ToxicityModel(words, weights, bias)
 
 
