@@ -8,8 +8,9 @@ at which that language's bits answer by chance, and the largest count decides.
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; a
 text with no known n-gram gets the commonest learned language (ties: the least
 name) with score 0; equal counts go to the commoner language; with nothing to
-learn from, every text is ``und``. A row whose id is null is not held out. Only
-the named columns are read.
+learn from, every text is ``und``. A language of one or two documents is learned
+from them, but takes no n-gram from other languages. A row whose id is null is not
+held out. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -26,11 +27,11 @@ from furlong.llm.common import bound_batches, crc_mod, map_rows
 GRAMS = (2, 3, 4)
 #: Expected number of training documents for each language; the n-grams come from their whole texts.
 SAMPLE_PER_LANGUAGE = 300
-#: A language contains an n-gram that is in so many of its sampled documents.
+#: A language contains an n-gram that is in so many of its sampled documents, or in all of them if it has fewer.
 MIN_DOCS = 3
 #: ... and in a share of them of at least this part of the share in any other language, which keeps out what wrong labels bring in.
 MIN_PART = 0.3
-#: Most n-grams of a language, the commonest first.
+#: Size of the model: most n-grams of a language, the commonest first.
 MAX_GRAMS = 50_000
 SLOTS_LOG2 = 20
 HASHES = 2
@@ -128,9 +129,10 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", order: str =
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return BitmaskFilter({}, [])
-    bound = F.lit(None).cast("double")
+    bound, least = F.lit(None).cast("double"), F.lit(MIN_DOCS)
     for name, n in sizes.items():
         bound = F.when(F.col("lang") == name, F.lit(min(1.0, per_language / n))).otherwise(bound)
+        least = F.when(F.col("lang") == name, F.lit(n)).otherwise(least) if n < MIN_DOCS else least
     sample = labelled.where((F.col("h").cast("double") / 2.0**64 + 0.5) <= bound).select("lang", "text")
 
     def grams(batch: pa.RecordBatch) -> dict:
@@ -145,15 +147,17 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", order: str =
             docs_with.append(n)
         return {"lang": pa.array(names, pa.string()), "gram": pa.array(np.concatenate(hashes), pa.int64()), "n": pa.array(np.concatenate(docs_with), pa.int64())}
 
-    counted = map_rows(sample, grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_DOCS)
+    counted = map_rows(sample, grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     rows = counted.toArrow()
     sampled = {name: min(n, per_language) for name, n in sizes.items()}
     names, hashes = np.array(rows.column("lang").to_pylist(), object), rows.column("gram").to_numpy()
     share = rows.column("n").to_numpy() / np.array([sampled[x] for x in names], float) if len(names) else np.zeros(0)
-    order_ = np.lexsort((share, hashes))
-    hashes, share, names = hashes[order_], share[order_], names[order_]
+    # The share in the language that an n-gram is commonest in; of those with few documents it counts for themselves alone.
+    weighed = np.where([sizes[x] >= MIN_DOCS for x in names], share, 0.0) if len(names) else share
+    order_ = np.lexsort((weighed, hashes))
+    hashes, share, names, weighed = hashes[order_], share[order_], names[order_], weighed[order_]
     last = np.append(hashes[1:] != hashes[:-1], True) if len(hashes) else np.zeros(0, bool)
-    top = share[last][np.searchsorted(hashes[last], hashes)] if len(hashes) else share
+    top = np.maximum(share, weighed[last][np.searchsorted(hashes[last], hashes)]) if len(hashes) else share
     chosen = {}
     for name in sizes:
         own = np.flatnonzero((names == name) & (share >= MIN_PART * top))
