@@ -153,7 +153,8 @@ def repeat_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     counts = mix(docs, doc_id, text, source).groupBy(F.col("doc_id").alias("mix_id")).agg(F.max(copies).alias("mix_copies")).where("mix_copies > 0")
     counts = counts.hint("shuffle_hash")
     rows = docs.join(counts, docs[doc_id].eqNullSafe(counts["mix_id"]))
-    return rows.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), counts["mix_copies"])).alias("mix_nth")).drop("mix_nth")
+    # The documents' own columns may have any name, so they go as one.
+    return rows.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.explode(F.sequence(F.lit(1), counts["mix_copies"])).alias("nth")).select("row.*")
 
 
 ORACLE = r"""

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import pathlib
 import random
 import re
 import zlib
@@ -130,6 +131,27 @@ def test_bitmask_filter_finds_every_inserted_gram():
         assert ((mask >> both.languages.index(name)) & 1).all()
 
 
+def test_counts_are_those_of_plain_sets_corrected_for_chance():
+    rng = random.Random(33)
+    text = {name: " ".join("".join(rng.choice(letters) for _ in range(rng.randrange(2, 8))) for _ in range(400)) for name, letters in (("a", "abcdef"), ("b", "cdefgh"), ("c", "ñçêßo"))}
+    grams = {name: np.unique(np.concatenate(list(language_id.pieces(language_id.normal(t))))) for name, t in text.items()}
+    filter_ = language_id.BitmaskFilter(grams, list(grams), slots_log2=14)
+    sets = {name: set(own.tolist()) for name, own in grams.items()}
+    for case in range(60):
+        sample = " ".join(rng.sample(text[rng.choice("abc")].split(), 30))
+        found, n = filter_.counts(sample)
+        own = [g for part in language_id.pieces(language_id.normal(sample)) for g in part.tolist()]
+        plain = [sum(g in sets[name] for g in own) for name in grams]
+        assert n == len(own) and np.abs(found - plain).max() <= 0.1 * n, case
+        assert int(np.argmax(found)) == int(np.argmax(plain))
+
+
+def test_a_language_of_one_document_is_learned(spark):
+    train = [(i, "the quick brown fox and the lazy dog", "en") for i in range(30)] + [(90, "ñandú çelik été ßtraße", "zz")]
+    model = language_id.learn(spark.createDataFrame(train, "doc_id long, text string, lang string"))
+    assert model.predict("été ßtraße")[0] == "zz" and model.predict("the brown dog")[0] == "en"
+
+
 def test_pieces_cover_long_texts(monkeypatch):
     text = words(3_000, 5)
     whole = np.sort(np.concatenate(list(language_id.pieces(language_id.normal(text)))))
@@ -168,12 +190,43 @@ def test_toxicity(spark, docs, empty):
 
 def test_counterfactual_penalty_lowers_the_change_of_scores():
     rows_ = [(1, [0, 2])] * 30 + [(0, [1])] * 30 + [(1, [0])] * 5 + [(0, [2, 1])]
-    pairs = [([2], [3])] * 10
-    free, _ = toxicity.fit(rows_, [], 4)
-    bound, _ = toxicity.fit(rows_, pairs, 4, weight=10.0)
+    changes = toxicity.squares([[(2, 1), (3, -1)]] * 10, 4)
+    free, _ = toxicity.fit(rows_, np.zeros((4, 4)), 4)
+    bound, _ = toxicity.fit(rows_, changes, 4, weight=10.0)
     assert abs(bound[2] - bound[3]) < 0.2 * abs(free[2] - free[3])
 
 
+def test_fit_finds_what_plain_gradient_descent_finds():
+    rng = random.Random(12)
+    rows_ = [(int(rng.random() < 0.3), sorted(rng.sample(range(6), rng.randrange(0, 5)))) for _ in range(300)]
+    pairs = [([0, 1], [2]), ([3], [4]), ([3], [4, 5])] * 4
+    changes = toxicity.squares([[*((i, 1) for i in a), *((j, -1) for j in b)] for a, b in pairs], 6)
+    weights, bias = toxicity.fit(rows_, changes, 6, weight=0.5, ridge=0.2)
+    x, y = np.zeros((300, 6)), np.array([label for label, _ in rows_], float)
+    for i, (_, own) in enumerate(rows_):
+        x[i, own] = 1
+    w, c = np.zeros(6), 0.0
+    for _ in range(20_000):
+        error = 1 / (1 + np.exp(-(x @ w + c))) - y
+        slope = x.T @ error + 2 * 0.2 * w
+        for a, b in pairs:
+            change = w[a].sum() - w[b].sum()
+            slope[a] += 2 * 0.5 * change
+            slope[b] -= 2 * 0.5 * change
+        w, c = w - 0.004 * slope, c - 0.004 * error.sum()
+    assert np.abs(weights - w).max() < 1e-3 and abs(bias - c) < 1e-3
+
+
+def test_sentences_that_name_groups_are_summed_on_the_executors(spark):
+    data = [(i, f"filler{i % 3} words. The {rng_term} came here" + (" rotbag" if i % 2 else ""), i % 2) for i, rng_term in enumerate(["woman", "femme", "frau", "mujer"] * 20)]
+    table = spark.createDataFrame([(i, t) for i, t, _ in data], "doc_id long, text string")
+    known = spark.createDataFrame([(i, label) for i, _, label in data], "doc_id long, toxic int")
+    model = toxicity.learn(table, known)
+    for a, b in (("woman", "man"), ("femme", "homme"), ("frau", "mann"), ("mujer", "hombre")):
+        assert abs(model.score(f"The {a} came") - model.score(f"The {b} came")) < 0.02
+        assert model.score(f"The {a} came") < toxicity.THRESHOLD < model.score(f"The {a} came rotbag")
+
+
 # 4
 
 
@@ -360,6 +413,18 @@ def test_warc(spark):
     assert warc.report(df.limit(0)).count() == 0
 
 
+def test_two_attempts_write_the_same_archives(spark):
+    pages = [(i % 40 or None, f"http://h{i % 7}.example/{i}", f"<p>{i % 9}</p>") for i in range(200)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    found = []
+    for parts in (3, 5):
+        folder = shared_folder(spark, "warc")
+        warc.write_archives(df.repartition(parts, F.rand(parts)), folder)
+        path = folder.removeprefix("file://")
+        found.append({str(f.relative_to(path)): f.read_bytes() for f in sorted(pathlib.Path(path, "archive").iterdir())})
+    assert found[0] == found[1]
+
+
 def test_merge_in_passes_and_ranges(spark):
     pages = spark.createDataFrame([(i, f"http://h{i % 3}.example/{i % 11}", f"{i}") for i in range(500)], "page_id long, url string, html string").repartition(9)
     folder = shared_folder(spark, "warc")
@@ -406,6 +471,23 @@ def test_token_output(spark, docs, texts, empty, tokenizer):
     assert token_output.report(empty).count() == 0
 
 
+def test_ids_are_those_of_whole_texts(tokenizer):
+    rng = random.Random(8)
+    own = token_output.encoder(token_output.TOKENIZER)
+    parts = ["a", "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|", "|>", " ", "\n", "J\u030c", "H\u0331", "T\u0308", "\u0301", "e", "E", "\u00c9", "\u03a3", "\u0130", "\u212a", "\u0341", ".", ",", "Don't", "'S", "12", "Word", "\ufb01", "\u3000", "\u0591", "\u65e5\u672c", "\u1100\u1161"]
+    texts = ["a <|endoftext|> b", "in<|startoftext|>word", "<|endo ftext|>", *("".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(4_000))]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode([t.encode() for t in texts])] == [x.ids for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    other = token_output.Encoder("byte_bpe_50k.json")
+    assert not other.by_piece and np.frombuffer(other.encode([b"A cased  Text"])[0], "<u4").tolist() == other.tokenizer.encode("A cased  Text", add_special_tokens=False).ids
+
+
+def test_ids_that_are_no_whole_numbers_are_refused(spark):
+    docs = spark.createDataFrame([("a", "text", "p")], "doc_id string, text string, url string")
+    for call in (lambda: token_output.report(docs), lambda: warc.report(docs, page_id="doc_id", html="text")):
+        with pytest.raises(TypeError):
+            call()
+
+
 def test_one_document_is_read_by_itself(tmp_path, tokenizer):
     from furlong.llm.storage import Writer, reader
 
@@ -439,7 +521,7 @@ def test_token_counts_follow_edits():
     pieces = ["word", " ", "  ", "\n\n", "don't", "123", "é", "!?", " the", "\t", "'s", "'", "r", "e", "日本", "x" * 90]
     for case in range(400):
         text = "".join(rng.choice(pieces) for _ in range(rng.randrange(0, 400)))
-        tree = token_counts.CountTree(text, tool, segment=rng.choice([1, 2, 5, 64]))
+        tree = token_counts.CountTree(*token_counts.segments(text, tool, rng.choice([1, 2, 5, 64])), tool)
         assert tree.total == count(text)
         for _ in range(4):
             a = rng.randrange(0, len(text) + 1)
@@ -450,20 +532,53 @@ def test_token_counts_follow_edits():
             assert "".join(tree.texts) == text and tree.total == count(text), case
 
 
+EDITS = "doc_id long, start int, end int, new string"
+
+
 def test_token_counts(spark, docs, texts, empty):
     pytest.importorskip("public_tokenizers")
-    found = {r["doc_id"]: r for r in token_counts.edited_counts(docs).collect()}
-    assert found[0]["n_tokens"] == found[1]["n_tokens"] == 0 and found[19]["n_edits"] == 0
-    table = spark.createDataFrame([(1, "mail a.b@c.org or 10.0.0.1 now", [(0, 4, "post")]), (2, None, [(0, 0, "x")]), (3, "abc", None)], "doc_id long, text string, e array<struct<start:int,end:int,new:string>>")
     tool = token_counts.counter(token_counts.RANKS)
+    count = lambda t: len(tool.encoding.encode_ordinary(t))
+    swap = lambda t: re.sub(token_counts.REDACT, token_counts.PLACEHOLDER, t or "", flags=re.ASCII)
+    expected = sorted(((t[0], count(t[1] or ""), len(re.findall(token_counts.REDACT, t[1] or "", re.ASCII)), count(swap(t[1]))) for t in texts), key=key)
+    assert rows(token_counts.edited_counts(docs), "doc_id", "n_tokens", "n_edits", "n_tokens_after") == expected
+    table = spark.createDataFrame([(1, "mail a.b@c.org or 10.0.0.1 now", 9), (3, "abc", 9), (3, "abc", 9)], "doc_id long, text string, n_tokens int")
     own = {r["doc_id"]: r for r in token_counts.edited_counts(table).collect()}
-    assert own[1]["n_edits"] == 2 and own[1]["n_tokens_after"] == tool.count("mail") + len(tool.encoding.encode_ordinary(" <redacted> or <redacted> now"))
-    given = {r["doc_id"]: r for r in token_counts.edited_counts(table, edits="e").collect()}
-    assert given[1]["n_tokens_after"] == len(tool.encoding.encode_ordinary("post a.b@c.org or 10.0.0.1 now"))
-    assert (given[2]["n_edits"], given[3]["n_edits"]) == (0, 0)
+    assert own[1]["n_edits"] == 2 and own[1]["n_tokens_after"] == count("mail <redacted> or <redacted> now") and own[3]["n_chars_reencoded"] == 0
     assert token_counts.edited_counts(empty).count() == 0
 
 
+def test_edits_of_a_kept_table_and_refused_edits(spark, tmp_path):
+    pytest.importorskip("public_tokenizers")
+    tool = token_counts.counter(token_counts.RANKS)
+    rng = random.Random(19)
+    text = {i: words(200, 60 + i, 900) for i in range(12)} | {50: "", 51: None}
+    trees = token_counts.build(spark.createDataFrame(list(text.items()), "doc_id long, text string"), segment=8)
+    for turn in range(3):
+        path = f"file://{tmp_path}/trees{turn}"
+        trees.write.parquet(path)
+        edits, refused = [], 0
+        for i in range(12):
+            places = sorted(rng.sample(range(len(text[i])), 6))
+            own = [(a, b, rng.choice(["", "x", " new words"])) for a, b in zip(places[::2], places[1::2], strict=True)]
+            edits += [(i, *e) for e in own]
+            for a, b, new in reversed(own):
+                text[i] = text[i][:a] + new + text[i][b:]
+        n = len(text[0])
+        bad = [(0, None, 1, "x"), (0, 0, None, "x"), (0, 0, 1, None), (0, -3, 1, "x"), (0, 5, 4, "x"), (0, 0, n + 9_999, "x"), (51, 0, 0, "x"), (77, 0, 0, "x")]
+        after = token_counts.apply_edits(spark.read.parquet(path), spark.createDataFrame(edits + bad, EDITS))
+        refused = {r["doc_id"]: r["n_refused"] for r in after.collect()}
+        assert refused[0] == 6 and refused[51] == 1 and sum(refused.values()) == 7
+        assert {r["doc_id"]: r["text"] for r in token_counts.text_of(after).collect()} == text
+        assert all(r["n_tokens"] == len(tool.encoding.encode_ordinary(text[r["doc_id"]] or "")) and r["n_chars"] == len(text[r["doc_id"]] or "") for r in after.collect())
+        trees = after
+    long = token_counts.build(spark.createDataFrame([(1, words(9_000, 3, 900))], "doc_id long, text string"))
+    once = token_counts.apply_edits(long, spark.createDataFrame([(1, 20_000, 20_010, "new")], EDITS)).first()
+    assert once["n_edits"] == 1 and 0 < once["n_chars_reencoded"] < 1_000
+    assert token_counts.accept([(3, 5, "b"), (3, 3, "a"), (4, 4, "c"), (5, 5, "d")], 9) == [(3, 3, "a"), (3, 5, "b"), (5, 5, "d")]
+    assert token_counts.apply_edits(trees.limit(0), spark.createDataFrame([], EDITS)).count() == 0
+
+
 # 10
 
 
@@ -492,8 +607,8 @@ def test_mixing(spark, docs, texts, empty):
         taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
     assert all(abs(taken[s] - target[s]) < 1 for s in names)
     assert rows(mixing.mix(docs.repartition(5)), "doc_id", "size", "taken") == rows(mixing.mix(docs), "doc_id", "size", "taken")
-    kept = mixing.repeat_documents(docs)
-    assert kept.columns == docs.columns
+    kept = mixing.repeat_documents(docs.withColumnRenamed("spans", "mix_nth"))
+    assert kept.columns == [c if c != "spans" else "mix_nth" for c in docs.columns]
     assert mixing.mix(empty).count() == 0 and mixing.repeat_documents(empty).count() == 0
 
 
