@@ -1,4 +1,13 @@
-"""A corpus pipeline: the stages' functions take (spark, docs, sf_dir); each stage's rows are written and read again as the next one's documents."""
+"""A corpus pipeline: the stages' functions take (spark, docs, sf_dir); each stage's rows are written and read again as the next one's documents.
+
+Defined cases: a null or empty text, and a document without an id, goes through all
+stages like any other; it is scored, compared and tokenized as an empty text. Rows
+that repeat an id with equal or nearly equal texts leave one row at the SimHash
+stage, rows with different texts stay. The mix may take a document up to three
+times, so ids may repeat in the result. An empty ``documents``, ``labels`` or
+``benchmark`` is no error: nothing is rejected for want of it. Columns beyond those
+that a stage reads pass through all stages but the last.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from furlong.llm import decontamination, mixing, simhash, token_output, toxicity
 from furlong.llm.common import table
 from furlong.llm.queries import toxicity_model
+from furlong.llm.storage import remove_folder
 from furlong.session import shared_folder
 
 
@@ -43,19 +53,19 @@ STAGES = [
     ("tokens", write_tokens),
 ]
 
-#: Toxicity, SimHash and tokenization have no SQL form; tests hold the stages against brute force.
+#: Toxicity, SimHash and tokenization have no SQL form; the tests hold each stage against a plain version of it.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after the other, over ``documents``."""
+    """All stages, one after the other, over ``documents``; a stage's rows are removed once the next one's are written."""
     folder = shared_folder(spark, "pipeline")
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for i, (name, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        if i == len(STAGES) - 1:
-            return out
         path = f"{folder}/{i}-{name}"
-        out.write.parquet(path)
+        stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
-    raise ValueError("STAGES is empty")
+        if before:
+            remove_folder(before)
+        before = path
+    return docs
