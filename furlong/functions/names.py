@@ -14,8 +14,10 @@ from furlong.functions.scalars import nfkc
 from furlong.session import cut
 
 # Additions of the older source's names, and names that no rule finds.
-SUFFIXES = (r"\*$", r"・(?:牝|父|市|若|九|重|[1-3]勝)$", r"(?<=[^0-9])(?:500|900|1000|1500|1600)$", r"J?G[123]$", r"\(L\)$")
+SUFFIXES = (r"\*$", r"・(?:牝|父|市|若|九|重|[1-3]勝)$", r"(?<=\D)(?:500|900|1000|1500|1600)$", r"J?G[123]$", r"\(L\)$")
 HANDICAP_SUFFIX = r"H$"
+#: Kanji that stand for one another in names of persons.
+VARIANTS = {"髙": "高", "﨑": "崎", "德": "徳", "邊": "辺", "邉": "辺", "濵": "浜", "瀨": "瀬"}
 GENERIC = r"^(障害)?・?(新馬|未出走|未勝利|オープ(?:ン)?|[0-9]+万下|[1-3]勝クラス)$"
 OVERRIDES = {
     "JC": "ジャパンC",
@@ -26,6 +28,20 @@ OVERRIDES = {
     "WASJ第4": "ワールドオールスタージョッキーズ第4戦",
 }
 
+
+
+def person_key(column: Column) -> Column:
+    """A person's name to compare by: variant kanji as one, NFKC, no white space."""
+    text = F.translate(nfkc(F.translate(column, "".join(VARIANTS), "".join(VARIANTS.values()))), "".join(VARIANTS), "".join(VARIANTS.values()))
+    return F.regexp_replace(text, r"(?U)\s+", "")
+
+
+def split_country(column: Column) -> Column:
+    """Struct ``name, country``: a last bracket of at most four characters is the country."""
+    pattern = r"^(.+)[(（]([^()（）]{1,4})[)）]$"
+    return F.struct(F.when(column.rlike(pattern), F.trim(F.regexp_extract(column, pattern, 1))).otherwise(column).alias("name"), F.when(column.rlike(pattern), F.regexp_extract(column, pattern, 2)).alias("country"))
+
+
 def plain_name(column: Column) -> Column:
     """A modern name without its number and class; its long last word short."""
     text = F.regexp_replace(F.regexp_replace(F.trim(column), "^第[0-9]+回", ""), r"\((?:[1-3]勝|OP|L)\)$", "")

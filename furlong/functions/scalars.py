@@ -216,9 +216,24 @@ def months_between(first: Column, last: Column) -> Column:
     return F.sequence(F.trunc(first, "month"), F.trunc(last, "month"), F.expr("interval 1 month"))
 
 
+def iso_date(column: Column) -> Column:
+    """The text itself if it is a real day written 2024-01-06; else null."""
+    return F.when(column.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & F.try_to_date(column).isNotNull(), column)
+
+
+def days_from(first: Column, n: Column) -> Column:
+    """So many days in a row, as texts."""
+    return F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.date_add(first, i).cast("string"))
+
+
 # lists
 
 
+def ordered_distinct(values: Column) -> Column:
+    """The distinct values in the order of their first places."""
+    return F.array_distinct(values)
+
+
 def canonical_combo(column: Column, ordered: bool = False) -> Column:
     """3-11-7 as 3-7-11 where the order does not matter."""
     parts = F.transform(F.split(column, "-"), lambda x: x.cast("int"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # The words that codes stand for.
 GOING = {"良": "良", "稍": "稍重", "重": "重", "不": "不良"}
 STABLE = {"栗": "栗東", "美": "美浦", "地": "地方", "外": "海外"}
-GRADE = {"G1": "GI", "G2": "GII", "G3": "GIII", "JG1": "JGI", "JG2": "JGII", "JG3": "JGIII", "OP(L)": "L"}
+GRADE = {"G1": "GI", "G2": "GII", "G3": "GIII", "JG1": "JGI", "JG2": "JGII", "JG3": "JGIII", "OP(L)": "L", "リステッド": "L"}
 CLASS_CONDITION = {
     "新馬": "新馬", "未勝利": "未勝利", "未出走": "未出走", "1勝": "1勝クラス", "2勝": "2勝クラス", "3勝": "3勝クラス",
     "400万": "400万下", "500万": "500万下", "900万": "900万下", "1000万": "1000万下", "1500万": "1500万下", "1600万": "1600万下",
@@ -32,6 +32,10 @@ def lookup(column: Column, words: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for pair in words.items() for x in pair])[F.coalesce(column, F.lit("\0"))]
 
 
+def grade(column: Column) -> Column:
+    return lookup(column, GRADE)
+
+
 def class_condition(class_name: Column, symbol: Column) -> Column:
     """Class and, by the symbol, its suffix."""
     base = lookup(class_name, CLASS_CONDITION)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from furlong.session import cut
+
 
 def unique_candidates(candidates: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """The keys with exactly one distinct ``value``."""
@@ -45,16 +47,31 @@ def fallback_match(rows: DataFrame, lookup: DataFrame, key: str, name: str, valu
     return out.select(*[c for c in rows.columns if c != value], found.alias(value))
 
 
-def theta_unique(rows: DataFrame, candidates: DataFrame, equal: Sequence[str], residual: Column, row_key: str, value: str) -> DataFrame:
-    """``row_key, value`` of the rows with exactly one candidate equal in ``equal`` for which ``residual`` holds.
+def theta_unique(rows: DataFrame, candidates: DataFrame, equal: Sequence[str], bound: str, limit: Column, row_key: str, value: str) -> DataFrame:
+    """``row_key, value`` of the rows with exactly one candidate that is equal in ``equal`` and whose ``bound`` is at most the row's ``limit``.
 
-    The residual refers to the sides as ``r`` and ``c``.
+    A row has one such candidate if the least of its key's bounds is within the
+    limit and the second least is not, so two candidates of each key are all that
+    a row meets. A null bound or limit fits nothing.
     """
-    condition = residual
-    for k in equal:
-        condition = (F.col(f"r.{k}") == F.col(f"c.{k}")) & condition
-    pairs = rows.alias("r").join(candidates.alias("c"), condition).groupBy(F.col(f"r.{row_key}").alias(row_key))
-    return pairs.agg(F.count("*").alias("_hits"), F.min(F.col(f"c.{value}")).alias(value)).where("_hits = 1").drop("_hits")
+    nth = F.row_number().over(Window.partitionBy(*equal).orderBy(bound, value))
+    least = candidates.where(F.col(bound).isNotNull()).select(*equal, bound, value).withColumn("_nth", nth).where("_nth <= 2")
+    two = least.groupBy(*equal).agg(F.min(bound).alias("_least"), F.min_by(value, "_nth").alias(value), F.max(F.when(F.col("_nth") == 2, F.col(bound))).alias("_second"))
+    limited = rows.select(F.col(row_key), *equal, limit.alias("_limit"))
+    return limited.join(two, list(equal)).where((F.col("_least") <= F.col("_limit")) & (F.col("_second").isNull() | (F.col("_second") > F.col("_limit")))).select(row_key, value)
+
+
+#: Characters by which short texts and names meet before the one is looked for in the other.
+GRAM = 3
+
+
+def _containing(shorts: DataFrame, names: DataFrame, keys: Sequence[str], short: str, name: str) -> DataFrame:
+    """``shorts`` with each ``name`` of ``names`` that contains them: they meet by the first ``GRAM`` characters of the short text, wherever in the name those are."""
+    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(name) - GRAM + 1, F.lit(1))), lambda i: F.substring(F.col(name), i, F.lit(GRAM))))
+    long_enough = F.length(short) >= GRAM
+    by_gram = shorts.where(long_enough).withColumn("_gram", F.substring(short, 1, GRAM)).join(names.withColumn("_gram", F.explode(grams)), [*keys, "_gram"]).drop("_gram")
+    rest = shorts.where(~long_enough).join(names, list(keys))
+    return by_gram.unionByName(rest).where(F.col(name).contains(F.col(short)))
 
 
 def staged_match(rows: DataFrame, candidates: DataFrame, stages: Sequence[Sequence[str]], row_key: str, short: str, name: str) -> DataFrame:
@@ -63,15 +80,18 @@ def staged_match(rows: DataFrame, candidates: DataFrame, stages: Sequence[Sequen
     A stage's candidates agree with the row in the stage's columns. A name equal
     to ``short`` wins; else the only name counts, taken from where ``short``
     begins (a prefix that differs does not make it another name); several leave
-    the match null. Stages are tried on the rows that the ones before left open.
+    the match null. Stages are tried on the rows that the ones before left open,
+    and on each distinct short text once.
     """
     out, open_rows = None, rows
     for number, keys in enumerate(stages, 1):
         pool = candidates.select(*keys, F.col(name).alias("_name")).distinct()
-        pairs = open_rows.join(pool, list(keys)).where(F.col("_name").contains(F.col(short)))
+        pairs = _containing(open_rows.select(*keys, short).distinct(), pool, keys, short, "_name")
         tail = F.substring("_name", F.instr("_name", F.col(short)), F.length("_name"))
-        hits = pairs.groupBy(row_key).agg(F.max(F.when(tail == F.col(short), tail)).alias("_exact"), F.count_distinct(tail).alias("_n"), F.min(tail).alias("_only"))
-        own = hits.select(row_key, F.lit(number).alias("stage"), F.coalesce("_exact", F.when(F.col("_n") == 1, F.col("_only"))).alias("match"))
+        hits = pairs.groupBy(*keys, short).agg(F.max(F.when(tail == F.col(short), tail)).alias("_exact"), F.count_distinct(tail).alias("_n"), F.min(tail).alias("_only"))
+        found = hits.select(*keys, short, F.coalesce("_exact", F.when(F.col("_n") == 1, F.col("_only"))).alias("match"))
+        own = open_rows.join(found, [*keys, short]).select(row_key, F.lit(number).alias("stage"), "match")
+        own = cut(own) if number < len(stages) else own
         out = own if out is None else out.unionByName(own)
         open_rows = open_rows.join(own.select(row_key), row_key, "left_anti")
     return out

@@ -53,7 +53,8 @@ def resolve(edges: DataFrame) -> DataFrame:
     ``edges`` holds ``role, source, number, name``. A key is the least domestic
     number of its group, or the least number.
     """
-    clean = edges.where("number is not null and name is not null and name <> ''")
+    # A repeated edge counts where it comes first: later it joins nothing more, and it is refused again.
+    clean = edges.where("number is not null and name is not null and name <> ''").groupBy("number", "name").agg(F.min(F.struct("role", "source")).alias("first")).select("first.role", "first.source", "number", "name")
     node = lambda mark, c: F.xxhash64(F.concat(F.lit(mark), F.col(c)))
     keyed = clean.withColumn("src", node("#", "number")).withColumn("dst", node("@", "name"))
     labels = connected_components(keyed.select("src", "dst"))

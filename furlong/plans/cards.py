@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from furlong.functions.names import person_key
 from furlong.functions.scalars import normalize_slips
 from furlong.operators.match import fallback_match, unique_match
 from furlong.operators.upsert import delete_keys, keep_if_touched, monotone, replace_partition, upsert
@@ -81,9 +82,9 @@ def slip_groups(rows: DataFrame) -> DataFrame:
 
 def import_stalls(existing: DataFrame, stalls: DataFrame, trainers: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(stalls of each trainer and date, names without a trainer): summed, then matched within the stable by full name, else by its first four characters."""
-    summed = stalls.groupBy("effective_date", "stable", F.regexp_replace("trainer_name", r"(?U)\s+", "").alias("full")).agg(F.sum("stalls").cast("int").alias("stalls")).withColumn("short", F.substring("full", 1, 4))
-    full = F.regexp_replace(F.coalesce("full_name", "trainer_name"), r"(?U)\s+", "")
-    pool = trainers.select("trainer_id", "stable", full.alias("full"), F.substring(F.regexp_replace("trainer_name", r"(?U)\s+", ""), 1, 4).alias("short"))
+    summed = stalls.groupBy("effective_date", "stable", person_key(F.col("trainer_name")).alias("full")).agg(F.sum("stalls").cast("int").alias("stalls")).withColumn("short", F.substring("full", 1, 4))
+    full = person_key(F.coalesce("full_name", "trainer_name"))
+    pool = trainers.select("trainer_id", "stable", full.alias("full"), F.substring(person_key(F.col("trainer_name")), 1, 4).alias("short"))
     matched = unique_match(summed, pool, ["stable", "full"], "trainer_id", fallback=["stable", "short"])
     fresh = matched.where("trainer_id is not null").select("trainer_id", "effective_date", "stable", "stalls")
     return replace_partition(existing, fresh, ["effective_date", "stable"], stalls.select("effective_date", "stable")), matched.where("trainer_id is null").select("effective_date", "stable", F.col("full").alias("trainer_name"))

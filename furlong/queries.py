@@ -2,42 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from furlong import queries_plans, queries_values  # noqa: F401  they register their queries
 from furlong.functions import ids, names, scalars, vocab
 from furlong.operators import components, coverage, latest, lineage, match, metrics, resolve, upsert
+from furlong.registry import ORACLES, QUERIES, Tables, query
 from furlong.session import cut
-from furlong.sources import html, jsons
+from furlong.sources import html, jsons, track_blocks
 from furlong.streaming import incremental
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-class Tables:
-    """Harness tables by name."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
-
-    def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-
-
-def query(sql: str | None = None):
-    """Register a function of the harness tables, with its SQL."""
-
-    def register(f: Callable[[Tables], DataFrame]):
-        QUERIES[f.__name__] = lambda spark, sf_dir: f(Tables(spark, sf_dir))
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return register
-
 
 def day(column: str):
     return F.date_format(column, "yyyy-MM-dd")
@@ -135,13 +110,16 @@ def unanimous_map(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT o_orderkey, o_orderdate, CAST(sum(roll) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS BIGINT) AS rolled FROM
-(SELECT *, CASE WHEN month(o_orderdate) < lag(month(o_orderdate)) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) THEN 1 ELSE 0 END AS roll FROM orders)
+SELECT o_custkey, o_orderkey, (2000 + CAST(sum(roll) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS INT)) || '-' || lpad(CAST(m AS VARCHAR), 2, '0') || '-' || lpad(CAST(d AS VARCHAR), 2, '0') AS date, CAST(o_totalprice AS DOUBLE) AS cushion
+FROM (SELECT *, month(o_orderdate) AS m, day(o_orderdate) AS d, CASE WHEN month(o_orderdate) < lag(month(o_orderdate)) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) THEN 1 ELSE 0 END AS roll FROM orders)
 """)
 def year_rollover(t: Tables) -> DataFrame:
-    order = Window.partitionBy("o_custkey").orderBy("o_orderkey")
-    rows = t.orders.withColumn("roll", F.when(F.month("o_orderdate") < F.lag(F.month("o_orderdate")).over(order), 1).otherwise(0))
-    return rows.select("o_orderkey", "o_orderdate", F.sum("roll").over(order).cast("long").alias("rolled"))
+    """Each customer's orders as a file of table rows whose dates have no year."""
+    dated = F.concat(F.month("o_orderdate").cast("string"), F.lit("月"), F.dayofmonth("o_orderdate").cast("string"), F.lit("日"))
+    blank = F.lit("")
+    cells = F.array(blank, dated, blank, blank, blank, F.col("o_totalprice").cast("string"), *[blank] * 5)
+    rows = t.orders.select(F.col("o_custkey").alias("file"), F.col("o_orderkey").alias("line_no"), F.lit(2000).alias("year"), cells.alias("cells"))
+    return track_blocks.table_rows(rows).select(F.col("file").alias("o_custkey"), F.col("line_no").alias("o_orderkey"), "date", F.col("cushion_value").alias("cushion"))
 
 
 # coverage
@@ -402,24 +380,17 @@ SELECT c_custkey, min(s_suppkey) AS s_suppkey FROM customer JOIN supplier ON s_n
 def theta_unique(t: Tables) -> DataFrame:
     rows = t.customer.select("c_custkey", F.col("c_nationkey").alias("nation"), "c_acctbal")
     pool = t.supplier.select("s_suppkey", F.col("s_nationkey").alias("nation"), "s_acctbal")
-    return match.theta_unique(rows, pool, ["nation"], F.col("c.s_acctbal") <= F.col("r.c_acctbal") - 3000, "c_custkey", "s_suppkey")
+    return match.theta_unique(rows, pool, ["nation"], "s_acctbal", F.col("c_acctbal") - 3000, "c_custkey", "s_suppkey")
 
 
 @query("""
-WITH r AS (SELECT p_partkey, p_brand, p_type, substr(p_name, 1, 5) AS short FROM part WHERE p_partkey % 10 = 0),
-c AS (SELECT DISTINCT p_brand, p_type, p_name || ' ' || p_size AS name FROM part WHERE p_partkey % 10 = 1),
+WITH r AS (SELECT p_partkey, p_brand, p_type, substr(p_name, 1, 5) AS short FROM part WHERE p_partkey % 2 = 0),
+c AS (SELECT DISTINCT p_brand, p_type, p_name || ' ' || p_size AS name FROM part WHERE p_partkey % 2 = 1),
 s1 AS (SELECT p_partkey, 1 AS stage, CASE WHEN count(DISTINCT substr(name, instr(name, short))) = 1 THEN min(substr(name, instr(name, short))) END AS match FROM r JOIN c USING (p_brand, p_type) WHERE contains(name, short) GROUP BY p_partkey),
 s2 AS (SELECT p_partkey, 2 AS stage, CASE WHEN count(DISTINCT substr(name, instr(name, short))) = 1 THEN min(substr(name, instr(name, short))) END AS match FROM r JOIN c USING (p_type) WHERE contains(name, short) AND p_partkey NOT IN (SELECT p_partkey FROM s1) GROUP BY p_partkey)
 SELECT * FROM s1 UNION ALL SELECT * FROM s2
 """)
 def staged_match(t: Tables) -> DataFrame:
-    rows = t.part.where("p_partkey % 10 = 0").select("p_partkey", "p_brand", "p_type", F.substring("p_name", 1, 5).alias("short"))
-    pool = t.part.where("p_partkey % 10 = 1").select("p_brand", "p_type", F.concat_ws(" ", "p_name", F.col("p_size").cast("string")).alias("name"))
-    return match.staged_match(rows, pool, [("p_brand", "p_type"), ("p_type",)], "p_partkey", "short", "name")
-
-
-@query(ORACLES["staged_match"].replace("p_partkey % 10", "p_partkey % 2"))
-def staged_match_all(t: Tables) -> DataFrame:
     """Even parts among odd ones: every part is matched or a candidate."""
     rows = t.part.where("p_partkey % 2 = 0").select("p_partkey", "p_brand", "p_type", F.substring("p_name", 1, 5).alias("short"))
     pool = t.part.where("p_partkey % 2 = 1").select("p_brand", "p_type", F.concat_ws(" ", "p_name", F.col("p_size").cast("string")).alias("name"))
@@ -624,31 +595,27 @@ def html_udtf_rows(t: Tables) -> DataFrame:
 
 
 @query("""
-WITH RECURSIVE e AS (SELECT DISTINCT o_custkey % 400 AS a, 1000 + o_orderkey % 300 AS b FROM orders WHERE o_orderkey % 37 = 0), s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
-r AS (SELECT a AS node, a AS low FROM s UNION SELECT s.b, r.low FROM r JOIN s ON s.a = r.node WHERE r.low < s.b OR r.low >= s.b)
+WITH RECURSIVE e AS (SELECT DISTINCT 2 * o_custkey AS a, 2 * o_orderkey + 1 AS b FROM orders), s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r AS (SELECT a AS node, a AS low FROM s UNION SELECT s.b, r.low FROM r JOIN s ON s.a = r.node)
 SELECT node, min(low) AS component FROM r GROUP BY node
 """)
 def connected_components(t: Tables) -> DataFrame:
-    edges = t.orders.where("o_orderkey % 37 = 0").select((F.col("o_custkey") % 400).alias("src"), (1000 + F.col("o_orderkey") % 300).alias("dst"))
-    return components.connected_components(edges)
-
-
-@query()
-def connected_components_all(t: Tables) -> DataFrame:
-    """Every order joins its customer: the nodes are 2 c for a customer key c and 2 o + 1 for an order key o. The recursive SQL cannot keep up, so there is none."""
+    """Every order joins its customer: the nodes are 2 c for a customer key c and 2 o + 1 for an order key o."""
     return components.connected_components(t.orders.select((2 * F.col("o_custkey")).alias("src"), (2 * F.col("o_orderkey") + 1).alias("dst")))
 
 
 @query()
 def constrained_union(t: Tables) -> DataFrame:
-    number = F.concat(F.lit("11"), F.when(F.col("p_partkey") % 5 == 0, "2").otherwise("4"), F.lpad((F.col("p_partkey") % 300).cast("string"), 7, "0"))
-    edges = t.part.select((F.col("p_partkey") % 4).cast("int").alias("role"), F.lit(0).alias("source"), number.alias("number"), F.concat("p_name", F.lit(" "), (F.col("p_partkey") % 50).cast("string")).alias("name"))
-    return resolve.resolve(edges)
+    """Every part joins a number, shared by four neighbours, to a spelling, shared by those of a hundred parts with one name; half the numbers are domestic, so many unions are refused."""
+    own = F.floor(F.col("p_partkey") / 4).cast("long")
+    number = F.concat(F.lit("11"), F.when(own % 2 == 0, "2").otherwise("4"), F.lpad(own.cast("string"), 9, "0"))
+    name = F.concat_ws(" ", "p_name", F.floor(F.col("p_partkey") / 100).cast("string"))
+    return resolve.resolve(t.part.select((F.col("p_partkey") % 4).cast("int").alias("role"), F.lit(0).alias("source"), number.alias("number"), name.alias("name")))
 
 
-TREE = """part_tree AS (SELECT p_partkey AS node FROM part WHERE p_partkey BETWEEN 1 AND 255),
-paths AS (SELECT a.node AS id, b.node AS ancestor, translate(substr(lpad(CAST(bin(b.node) AS VARCHAR), 8, '0'), 9 - CAST(floor(log2(b.node)) AS INT) + CAST(floor(log2(a.node)) AS INT)), '01', 'fm') AS path
-  FROM part_tree a JOIN part_tree b ON b.node > a.node AND b.node >> CAST(floor(log2(b.node)) - floor(log2(a.node)) AS INT) = a.node AND floor(log2(b.node)) - floor(log2(a.node)) <= 3)"""
+TREE = """part_tree AS (SELECT p_partkey AS node, CAST(floor(log2(p_partkey)) AS INT) AS depth FROM part WHERE p_partkey >= 1),
+paths AS (SELECT a.node AS id, b.node AS ancestor, translate(right(CAST(bin(b.node) AS VARCHAR), b.depth - a.depth), '01', 'fm') AS path
+  FROM part_tree b, unnest(range(1, b.depth + 1)) AS g(up) JOIN part_tree a ON a.node = b.node >> CAST(up AS INT))"""
 
 
 def _depth(column: str):
@@ -656,37 +623,23 @@ def _depth(column: str):
     return F.length(F.bin(F.col(column))) - 1
 
 
-def _tree(t: Tables, nodes: str = "p_partkey >= 1", generations: int | None = None) -> DataFrame:
+def _tree(t: Tables, generations: int | None = None) -> DataFrame:
     """Lineages in the binary tree of part keys: the parents of k are 2k and 2k + 1. Without ``generations`` a lineage goes up to the largest key."""
-    own = t.part.where(nodes).select(F.col("p_partkey").alias("ancestor"))
+    own = t.part.where("p_partkey >= 1").select(F.col("p_partkey").alias("ancestor"))
     top = _depth("ancestor") if generations is None else F.least(_depth("ancestor"), F.lit(generations))
     steps = own.where("ancestor > 1").select("ancestor", F.explode(F.sequence(F.lit(1), top)).alias("g")).withColumn("id", F.expr("shiftright(ancestor, g)"))
     up = steps.select("id", ids.lineage_path(F.col("g"), F.expr("ancestor - shiftleft(id, g)")).alias("path"), "ancestor")
     return up.join(own.select(F.col("ancestor").alias("id")), "id", "left_semi").select("id", "path", "ancestor")
 
 
-#: The nodes and generations of the SQL.
-SMALL_TREE = ("p_partkey between 1 and 255", 3)
-
-
 @query(f"WITH {TREE} SELECT id, path, ancestor FROM paths")
 def lineage_paths(t: Tables) -> DataFrame:
-    return _tree(t, *SMALL_TREE)
-
-
-@query()
-def lineage_paths_all(t: Tables) -> DataFrame:
     return _tree(t)
 
 
 @query(f"""WITH {TREE}, x AS (SELECT id AS root, path, ancestor FROM paths UNION ALL SELECT a.ancestor, substr(b.path, length(a.path) + 1), b.ancestor FROM paths a JOIN paths b ON a.id = b.id AND starts_with(b.path, a.path) AND length(b.path) > length(a.path))
 SELECT root, path, min(ancestor) AS ancestor FROM x GROUP BY root, path""")
 def subtree_index(t: Tables) -> DataFrame:
-    return lineage.subtree_index(_tree(t, *SMALL_TREE))
-
-
-@query()
-def subtree_index_all(t: Tables) -> DataFrame:
     return lineage.subtree_index(_tree(t))
 
 
@@ -708,24 +661,13 @@ def graft_fixpoint(t: Tables) -> DataFrame:
     return lineage.build(targets, lineage.subtree_index(trees), cells, lineage.number_map(trees, cells), known)
 
 
-@query("""
-WITH x AS (SELECT o_custkey, o_orderkey, o_orderstatus, md5(CAST(o_custkey AS VARCHAR)) < '4' AS held FROM orders), guess AS (SELECT o_orderkey % 10 AS k, arg_min(o_orderstatus, (-n, o_orderstatus)) AS g FROM (SELECT o_orderkey, o_orderstatus, count(*) OVER (PARTITION BY o_orderkey % 10, o_orderstatus) AS n FROM x WHERE NOT held) GROUP BY 1)
-SELECT count(*) AS compared, count(*) FILTER (g = o_orderstatus) AS agreeing FROM x JOIN guess ON k = o_orderkey % 10 WHERE held
-""")
-def holdout_agreement(t: Tables) -> DataFrame:
-    rows = t.orders.select("o_orderstatus", (F.col("o_orderkey") % 10).alias("k"), (F.md5(F.col("o_custkey").cast("string")) < "4").alias("held"))
-    guess = latest.mode_by(rows.where("not held"), ["k"], "o_orderstatus", "g").drop("n")
-    both = rows.where("held").join(guess, "k")
-    return both.agg(F.count("*").alias("compared"), F.count_if(F.col("g") == F.col("o_orderstatus")).alias("agreeing"))
-
-
 @query()
-def lineage_holdout(t: Tables) -> DataFrame:
+def holdout_agreement(t: Tables) -> DataFrame:
     """A tenth of the trees over all part keys, held out and rebuilt; every horse has cells, for trees are rebuilt from them."""
     return lineage.holdout(*_graft(t, "true"))
 
 
-@query()
+@query("SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id) = 1")
 def streamed_latest(t: Tables) -> DataFrame:
     return incremental.latest_snapshot_by_stream(t.spark, f"{t.sf_dir}/events.parquet", ["user_id", "event_type"], "ts", "event_id")
 

@@ -3,8 +3,9 @@
 import zlib
 
 import pytest
-from furlong.operators import coverage, resolve
+from furlong.operators import coverage, match, resolve
 from furlong.queries import QUERIES
+from pyspark.sql import functions as F
 
 
 @pytest.fixture
@@ -25,7 +26,7 @@ def test_connected_components_take_every_order(run):
     for order, customer in orders:
         expected.setdefault(2 * customer, {2 * customer}).add(2 * order + 1)
     expected = sorted((node, min(own)) for own in expected.values() for node in own)
-    assert sorted(run("connected_components_all", orders=(orders, "o_orderkey long, o_custkey long"))) == expected
+    assert sorted(run("connected_components", orders=(orders, "o_orderkey long, o_custkey long"))) == expected
 
 
 def test_lineages_of_every_part(run):
@@ -39,8 +40,8 @@ def test_lineages_of_every_part(run):
             if k in keys:
                 cells[k, path] = above
     expected = sorted((k, path, above) for (k, path), above in cells.items())
-    assert sorted(run("lineage_paths_all", part=part)) == expected
-    assert sorted(run("subtree_index_all", part=part)) == expected
+    assert sorted(run("lineage_paths", part=part)) == expected
+    assert sorted(run("subtree_index", part=part)) == expected
 
 
 def test_grafts_reach_every_part(run):
@@ -68,12 +69,12 @@ def test_staged_match_takes_every_part(run):
                 expected.append((key, stage, hits.pop() if len(hits) == 1 else None))
                 break
     assert {(s, m is None) for _, s, m in expected} >= {(1, True), (1, False), (2, False)}
-    assert sorted(run("staged_match_all", part=(part, "p_partkey long, p_name string, p_brand string, p_type string, p_size int"))) == sorted(expected)
+    assert sorted(run("staged_match", part=(part, "p_partkey long, p_name string, p_brand string, p_type string, p_size int"))) == sorted(expected)
 
 
 def test_constrained_union_takes_every_role(run):
     part = [(k, f"n{k * 13 % 5}") for k in range(1_200)]
-    edges = sorted((k % 4, 0, f"11{'4' if k % 5 else '2'}{k % 300:07d}", f"{name} {k % 50}") for k, name in part)
+    edges = sorted((k % 4, 0, f"11{'4' if k // 4 % 2 else '2'}{k // 4:09d}", f"{name} {k // 100}") for k, name in part)
     groups, refused = resolve.constrained_groups([e[2:] for e in edges], lambda n: n[2] == "2")
     expected = {("refused", f"{a}|{b}") for a, b in refused}
     for numbers, names in groups:
@@ -81,13 +82,31 @@ def test_constrained_union_takes_every_role(run):
         expected |= {(key, "number", n) for n in numbers} | {(key, "name", n) for n in names}
     found = run("constrained_union", part=(part, "p_partkey long, p_name string"))
     assert {r[1:] if r[0] is None else r for r in found} == expected
-    assert {int(v) % 4 for _, kind, v in found if kind == "number"} == {0, 1, 2, 3}
-    assert refused
+    assert refused and len(expected) - len({f"{a}|{b}" for a, b in refused}) == 300 + 60
+
+
+def test_repeated_edges_and_refused_ones(spark):
+    edges = [(1, 0, "112A", "x"), (0, 0, "112A", "x"), (0, 1, "112B", "x"), (2, 0, "112B", "x"), (3, 0, "112B", "y"), (3, 1, None, "y"), (3, 1, "114C", ""), (1, 1, "114C", "y")]
+    found = {tuple(r) for r in resolve.resolve(spark.createDataFrame(edges, "role int, source int, number string, name string")).collect()}
+    assert found == {("112A", "number", "112A"), ("112A", "name", "x"), ("112B", "number", "112B"), ("112B", "number", "114C"), ("112B", "name", "y"), (None, "refused", "112B|x")}
+
+
+def test_staged_match_looks_for_short_texts_of_any_length(spark):
+    rows = spark.createDataFrame([(1, "k", "g", "ab"), (2, "k", "g", "abcd"), (3, "k", "g", "abcd"), (4, "k", "h", "xyz"), (5, "q", "h", "xyz"), (6, "k", "g", "none")], "id int, a string, b string, short string")
+    pool = spark.createDataFrame([("k", "g", "zzabcdz"), ("k", "g", "yabcdz"), ("k", "x", "ab"), ("z", "h", "xyz"), ("y", "h", "wxyzw")], "a string, b string, name string")
+    found = {r["id"]: (r["stage"], r["match"]) for r in match.staged_match(rows, pool, [("a", "b"), ("b",)], "id", "short", "name").collect()}
+    assert found == {1: (1, "abcdz"), 2: (1, "abcdz"), 3: (1, "abcdz"), 4: (2, "xyz"), 5: (2, "xyz")}
+
+
+def test_theta_unique_counts_candidates_not_values(spark):
+    rows = spark.createDataFrame([(1, "a", 5), (2, "a", 1), (3, "a", 9), (4, "b", 3), (5, "c", None)], "id int, k string, top int")
+    pool = spark.createDataFrame([("a", 2, 10), ("a", 7, 11), ("b", 3, 12), ("b", 3, 12), ("c", None, 13), ("c", 1, 14)], "k string, low int, v int")
+    assert {tuple(r) for r in match.theta_unique(rows, pool, ["k"], "low", F.col("top"), "id", "v").collect()} == {(1, 10)}
 
 
 def test_holdout_rebuilds_trees_over_every_part(run):
     held = {k for k in range(3, 350, 3) if zlib.crc32(f"{2020 - 4 * (k.bit_length() - 1)}{k:06d}".encode()) % 1000 < 100}
-    (found,) = run("lineage_holdout", part=([(k,) for k in range(700)], "p_partkey long"))
+    (found,) = run("holdout_agreement", part=([(k,) for k in range(700)], "p_partkey long"))
     assert found[0] == len(held) and found[1] > 0 and found[1] == found[2]
 
 
