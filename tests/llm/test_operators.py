@@ -646,3 +646,92 @@ def test_pipeline_stages_keep_columns(spark, tmp_path, docs, texts):
     assert out and {"doc_id", "start", "n_tokens", "ids_crc32"} == set(out[0].asDict())
     starts = sorted((r["start"], r["n_tokens"]) for r in out)
     assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:], strict=False))
+
+
+def plain_targets(total):
+    """Targets of sources by weight, cut at three times their size."""
+    names = sorted(total, key=lambda s: (s is None, s))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    target, open_ = {}, set(names)
+    while True:
+        left = sum(total.values()) - sum(target.values())
+        share = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        over = {s for s in open_ if share[s] >= 3 * total[s]}
+        if not over:
+            return target | share
+        target |= {s: 3.0 * total[s] for s in over}
+        open_ -= over
+
+
+def plain_mix(table):
+    """(id, text) as often as the mix begins to take them."""
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    total = {}
+    for _, text, source in table:
+        total[source] = total.get(source, 0) + size(text)
+    out = []
+    for source, target in plain_targets(total).items():
+        own = sorted((r for r in table if r[2] == source), key=lambda r: (hashlib.md5(f"42:{'' if r[0] is None else r[0]}".encode()).hexdigest(), r[0] is not None, r[0], size(r[1])))
+        at, whole, rest = 0, *divmod(int(target), total[source] or 1)
+        for doc_id, text, _ in own:
+            n = size(text)
+            taken = whole * n + max(0, min(at + n, rest) - at)
+            out += [(doc_id, text)] * (-(-taken // n) if n else 1)
+            at += n
+    return sorted(out, key=key)
+
+
+def test_pipeline_stages_against_plain_versions(spark, tmp_path, texts, tokenizer):
+    import corpus_pipeline
+    from furlong.llm.queries import toxicity_model
+
+    folder = str(tmp_path)
+    data = [(i, t, "en", s, 0) for i, t, _, s, *_ in texts if i != 4] + [(4, texts[4][1], "en", "a", 0), (90, words(30, 90, 9_000) + " vilething", "en", "a", 0), (None, words(50, 91, 9_000), "fr", None, 0)]
+    train = [(200 + i, words(25, 300 + i, 9_000) + (" vilething rotbag" if i % 3 == 0 else ""), "en", "bd"[i % 2], 0) for i in range(120)]
+    spark.createDataFrame(data + train, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(200 + i, 1, int(i % 3 == 0)) for i in range(120)] + [(None, 1, 1), (90, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    items = [(1, " ".join(texts[8][1].split()[5:20])), (2, None), (None, "vile")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+
+    def through(name):
+        path = f"{folder}/after-{name}"
+        stages[name](spark, docs, folder).write.parquet(path)
+        return spark.read.parquet(path)
+
+    def pairs(table):
+        return sorted(((r["doc_id"], r["text"]) for r in table.collect()), key=key)
+
+    model = toxicity_model(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    expected = [r for r in pairs(docs) if model.score(r[1]) < toxicity.THRESHOLD]
+    docs = through("toxicity")
+    assert pairs(docs) == expected and not any("vilething rotbag" in (t or "") for _, t in expected) and (0, None) in expected
+
+    prints = [plain_fingerprint(t) for _, t in expected]
+    labels = plain_components(len(expected), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 3)
+    least = {}
+    for (doc_id, _), label in zip(expected, labels, strict=True):
+        least[label] = min((x for x in (least.get(label), doc_id) if x is not None), default=None)
+    docs = through("simhash")
+    kept = pairs(docs)
+    found = {r: label for r, label in zip(expected, labels, strict=True)}
+    assert sorted(found[r] for r in kept) == sorted(least) and all(r[0] == least[found[r]] for r in kept)
+
+    judged = plain_contamination([(i, t) for i, (_, t) in enumerate(kept)], items)
+    docs = through("decontamination")
+    expected = sorted((kept[i] for i, *_, bad in judged if not bad), key=key)
+    assert pairs(docs) == expected and len(expected) < len(kept)
+
+    table = [(r["doc_id"], r["text"], r["source"]) for r in docs.collect()]
+    docs = through("mixing")
+    assert pairs(docs) == plain_mix(table)
+
+    at, expected = 0, []
+    ids = [(doc_id, np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 2], "<u4")) for doc_id, t in pairs(docs)]
+    for doc_id, own in sorted(ids, key=lambda x: (x[0] is not None, x[0], zlib.crc32(x[1].tobytes()))):
+        expected.append((doc_id, at, len(own), zlib.crc32(own.tobytes())))
+        at += len(own)
+    assert rows(through("tokens"), "doc_id", "start", "n_tokens", "ids_crc32") == sorted(expected, key=key)
+    spark.createDataFrame([], docs.schema).write.mode("overwrite").parquet(f"{folder}/documents.parquet")
+    assert corpus_pipeline.run(spark, folder).count() == 0
