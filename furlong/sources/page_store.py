@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,7 +31,7 @@ def keys(spark: SparkSession, root: str, kind: str) -> DataFrame:
 
 
 def put_pages(pages: DataFrame, root: str, kind: str) -> DataFrame:
-    """Write ``key, page``; ``key, uri`` of what was written. A page appears whole or not at all."""
+    """Write ``key, page``; ``key, uri`` of what was written. A page appears whole or not at all, also where two attempts write it."""
     from pyarrow import fs
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -40,9 +41,10 @@ def put_pages(pages: DataFrame, root: str, kind: str) -> DataFrame:
                 uri = f"{root}/{kind}/{key[:4]}/{key}.html.gz"
                 place, path = fs.FileSystem.from_uri(uri)
                 place.create_dir(path.rpartition("/")[0], recursive=True)
-                with place.open_output_stream(f"{path}.part", compression=None) as out:
+                part = f"{path}.{uuid.uuid4().hex}.part"
+                with place.open_output_stream(part, compression=None) as out:
                     out.write(gzip.compress((page or "").encode(), mtime=0))
-                place.move(f"{path}.part", path)
+                place.move(part, path)
                 uris.append(uri)
             yield pa.RecordBatch.from_pydict({"key": batch.column("key"), "uri": pa.array(uris, pa.string())})
 

@@ -38,6 +38,13 @@ DIRECTIONS = {"右": "right", "左": "left", "直": "straight"}
 GRADES = {"G1": "GI", "G2": "GII", "G3": "GIII", "JG1": "JGI", "JG2": "JGII", "JG3": "JGIII"}
 WEIGHT_RULES = ("別定", "定量", "馬齢", "ハンデ")
 CLASSES_IN_NAMES = ("3勝クラス", "2勝クラス", "1勝クラス", "未勝利", "新馬", "オープン")
+#: What else the lists of a meeting's results show: surfaces, letters of grades, words of conditions, classes of the going, runners that did not start.
+MEETING_SURFACES = {"芝": "turf", "ダート": "dirt"}
+MEETING_DIRECTIONS = {"右": "right", "左": "left", "直線": "straight"}
+GRADE_LETTERS = {"Ⅰ": "I", "Ⅱ": "II", "Ⅲ": "III", "･": "", "・": "", " ": "", "\u3000": ""}
+CONDITION_WORDS = {"混合": "混", "指定": "指", "特別指定": "特指"}
+GOING_CLASSES = {"weather": "weather", "turf": "going_turf", "durt": "going_dirt", "dirt": "going_dirt"}
+NOT_STARTED = ("取消", "除外")
 SEXES = {"牡": "牡", "牝": "牝", "せん": "セ", "セン": "セ", "セ": "セ"}
 #: Bet types: page class, horses, order matters, by frame.
 BETS = {
@@ -557,6 +564,87 @@ def tokens(page: Element, known: dict) -> Rows:
         yield "tokens", {"n": n, "token": found[1], "label": a.text() or None, **place}
 
 
+def _icon_grade(unit: Element) -> str | None:
+    alt = next((i.get("alt") or "" for icon in unit.all("span", "grade_icon") for i in icon.all("img")), "")
+    name = "".join(GRADE_LETTERS.get(c, c) for c in alt)
+    return {"リステッド": "L", "": None}.get(name, name)
+
+
+def meeting_results(page: Element, known: dict) -> Rows:
+    """Races and laps of all races of a meeting that have been run; the link says which meeting it is (``venue_code, meeting, day, date``).
+
+    Of the runners only the winner is read, as columns of the race. A page that
+    names another day or meeting than the link gives warnings.
+    """
+    units = [u for u in page.all("div", "race_result_unit")]
+    if not units:
+        raise LayoutError("no races of a meeting")
+    for unit in units:
+        heading = re.search(r"race_result_(\d+)R", unit.get("id") or "")
+        # The rows of runners by what their cell of the place says.
+        runners = [(text_of(place), row) for row in unit.all("tr") for place in row.own("td") if "place" in place.classes]
+        started = sum(place not in NOT_STARTED for place, _ in runners)
+        if not heading or not started:
+            continue
+        cell = lambda cls, unit=unit: next((text_of(d) for d in unit.all("div", cls) if "cell" in d.classes), "")
+        race_no = int(heading[1])
+        race_id = f"{known['date'][:4]}{known['venue_code']}{known['meeting']:02d}{known['day']:02d}{race_no:02d}"
+        warn = lambda text, race_id=race_id: ("warnings", {"race_id": race_id, "message": text})
+        shown = cell("date")
+        if (day := re.search(r"(\d{4})年\s*(\d{1,2})月\s*(\d{1,2})日", shown)) and f"{day[1]}-{int(day[2]):02d}-{int(day[3]):02d}" != known["date"]:
+            yield warn(f"the page is of {day[0]}, the link of {known['date']}")
+        if (label := re.search(r"(\d+)回\D+?(\d+)日", shown)) and (int(label[1]), int(label[2])) != (known["meeting"], known["day"]):
+            yield warn(f"the page is of {label[0]}, the link of meeting {known['meeting']}, day {known['day']}")
+
+        category, rule, by_weight, grade_class = (cell(c) for c in ("category", "rule", "weight", "class"))
+        jump = category.startswith("障害")
+        age = re.search(r"\d+歳(?:以上)?", category)
+        inside = [CONDITION_WORDS.get(w, w) for w in re.findall(r"[（(\[［]([^）)\]］]+)[）)\]］]", rule)]
+        outside = " ".join(re.sub(r"[（(\[［][^）)\]］]*[）)\]］]", "", rule).split())
+        post = re.search(r"(\d{1,2})時\s*(\d{1,2})分", cell("time"))
+        race = {
+            "race_id": race_id, "race_date": known["date"], "venue_code": known["venue_code"], "meeting": known["meeting"], "day": known["day"], "race_no": race_no,
+            "race_name": text_of(unit.first("span", "race_name")) or None, "grade": _icon_grade(unit), "post_time": f"{int(post[1]):02d}:{int(post[2]):02d}" if post else None,
+            "age_condition": age[0] if age else None, "class_condition": " ".join(x for x in (grade_class, outside) if x) or None, "race_conditions": ",".join(inside + [by_weight] * bool(by_weight)) or None,
+            "condition_raw": " ".join(x for x in (category, grade_class, rule, by_weight) if x) or None, "n_runners": started, "surface": "jump" if jump else None,
+        }
+        for going in (li for d in unit.all("div", "baba") if "cell" in d.classes for li in d.all("li")):
+            if column := next((GOING_CLASSES[c] for c in going.classes if c in GOING_CLASSES), None):
+                race[column] = text_of(going.first("span", "txt")) or None
+
+        text = cell("course")
+        if found := re.search(r"([\d,]+)\s*メートル\s*[（(]([^）)]*)[）)]", text):
+            words = [w for w in re.split(r"[・\s]+", found[2]) if w]
+            race["distance_m"] = integer(found[1])
+            race["direction"] = next((MEETING_DIRECTIONS[w] for w in reversed(words) if w in MEETING_DIRECTIONS), None)
+            race["course_detail"] = " ".join(w for w in words if w not in MEETING_SURFACES and w not in MEETING_DIRECTIONS) or None
+            race["surface"] = race["surface"] or next((MEETING_SURFACES[w] for w in reversed(words) if w in MEETING_SURFACES), None)
+            if race["surface"] is None:
+                yield warn(f"no surface: {text!r}")
+        else:
+            yield warn(f"course cannot be read: {text!r}")
+
+        if winner := next((row for place, row in runners if place == "1"), None):
+            frame = next((f[1] for td in winner.all("td", "waku") for i in td.all("img") if (f := re.search(r"枠(\d)", i.get("alt") or ""))), None)
+            corners = [t for td in winner.all("td", "corner") for li in td.all("li") if (t := li.text()).isdigit()]
+            race |= {"winner_umaban": integer(text_of(winner.first("td", "num"))), "winner_waku": integer(frame), "winner_name": text_of(winner.first("td", "horse")) or None, "winner_last_3f": number(text_of(winner.first("td", "f_time"))), "winner_corner": "-".join(corners) or None}
+        yield "official_races", race
+
+        shown = next((td.tight() for row in unit.all("tr") if text_of(row.first("th")) == "ハロンタイム" for td in row.own("td")), "")
+        values = [number(v) for v in shown.split("-")] if shown else []
+        if not race.get("distance_m") or not values or None in values:
+            if shown and race.get("distance_m"):
+                yield warn(f"laps cannot be read: {shown!r}")
+            if not jump:
+                yield warn(f"race {race_no} has no laps")
+            continue
+        rows = laps(race["distance_m"], values)
+        if rows[-1]["distance_m"] != race["distance_m"]:
+            yield warn(f"{len(rows)} laps do not make {race['distance_m']} m")
+        for row in rows:
+            yield "laps", {"race_id": race_id, **row}
+
+
 def month_tokens(page: Element, known: dict) -> Rows:
     """Tokens of months from the page's table of checksums; the present month and later ones have another prefix."""
     script = "".join(x for e in page.all("script") for x in e.children if isinstance(x, str))
@@ -590,13 +678,14 @@ def entry_profiles(page: Element, known: dict) -> Rows:
 
 
 READERS: dict[str, Callable[[Element, dict], Rows]] = {
-    f.__name__: f for f in (race_result, entry_card, race_list, odds, cushion, moisture, sire_leading, pedigree, horse_profile, horse_search, trainer_profile, tokens, month_tokens, entry_profiles)
+    f.__name__: f for f in (race_result, entry_card, race_list, odds, cushion, moisture, sire_leading, pedigree, horse_profile, horse_search, trainer_profile, tokens, meeting_results, month_tokens, entry_profiles)
 }
 
 # Schemas of the readers' tables, for ``table``.
 SCHEMAS = {
     "warnings": "race_id string, word string, message string",
     "races": "race_id string, race_date string, venue_code string, meeting int, day int, race_no int, race_name string, grade string, surface string, direction string, distance_m int, course_detail string, weather string, going_turf string, going_dirt string, post_time string, age_condition string, class_condition string, race_conditions string, n_runners int, n_entries int, course_text string",
+    "official_races": "race_id string, race_date string, venue_code string, meeting int, day int, race_no int, race_name string, grade string, surface string, direction string, distance_m int, course_detail string, weather string, going_turf string, going_dirt string, post_time string, age_condition string, class_condition string, race_conditions string, condition_raw string, n_runners int, winner_umaban int, winner_waku int, winner_name string, winner_last_3f double, winner_corner string",
     "entries": "race_id string, seq int, umaban int, waku int, horse_id string, horse_name string, sex string, age int, kinryo double, jockey_id string, jockey_name string, trainer_id string, trainer_name string, trainer_stable string, stable string, owner_id string, owner_name string, horse_weight int, weight_diff int, status string",
     "results": "race_id string, umaban int, horse_id string, finish_position int, finish_status string, time_sec double, time_raw string, margin string, corner_passing string, last_3f double, win_odds double, popularity int, prize_man_yen double",
     "payouts": "race_id string, bet_type string, combination string, payout_yen long, popularity int",

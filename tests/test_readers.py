@@ -58,3 +58,34 @@ def test_tables_of_people_and_horses():
     for reader, known in (("sire_leading", {}), ("horse_profile", {}), ("trainer_profile", {"trainer_id": "1"}), ("entry_profiles", {}), ("odds", {"bet_type": "wide", "race_id": "r"})):
         with pytest.raises(LayoutError):
             found(reader, "<p>other</p>", **known)
+
+
+def _unit(number, body, course="1,800メートル（ダート・右 外）", category="障害3歳以上", laps="12.1-11.0", grade="J･GⅢ"):
+    return f"""<div class="race_result_unit" id="race_result_{number}R"><div class="cell date">2026年9月20日（日曜） 4回中山6日</div><div class="cell time">発走時刻：<strong>9時5分</strong></div>
+    <span class="race_name">名</span><span class="grade_icon"><img alt="{grade}"></span><div class="cell category">{category}</div><div class="cell class">オープン</div><div class="cell rule">（混合） 牝 ［指定］</div><div class="cell weight">定量</div>
+    <div class="cell course">コース：{course}</div><div class="cell baba"><ul><li class="weather"><span class="cap">天候</span><span class="txt">雨</span></li><li class="durt"><span class="txt">不良</span></li></ul></div>
+    <table><tbody>{body}</tbody></table><table><tr><th>ハロンタイム</th><td>{laps}</td></tr></table></div>"""
+
+
+RAN = """<tr><td class="place">1</td><td class="waku"><img alt="枠5桃"></td><td class="num">8</td><td class="horse">勝 馬</td><td class="f_time">37.5</td><td class="corner"><ul><li>2</li><li>1</li><li>-</li></ul></td></tr>
+<tr><td class="place">取消</td></tr><tr><td class="place">中止</td></tr>"""
+
+
+def test_meeting_results():
+    where = {"venue_code": "06", "meeting": 4, "day": 6, "date": "2026-09-20"}
+    page = _unit(1, RAN) + _unit(2, RAN, "400メートル（芝・左）", "2歳", "12.0-11.5", "リステッド") + _unit(3, "<tr><td>未定</td></tr>") + _unit(4, '<tr><td class="place">除外</td></tr>')
+    out = found("meeting_results", page, **where)
+    first, second = out["official_races"]
+    assert first == {
+        "race_id": "202606040601", "race_date": "2026-09-20", "venue_code": "06", "meeting": 4, "day": 6, "race_no": 1, "race_name": "名", "grade": "JGIII", "post_time": "09:05", "age_condition": "3歳以上",
+        "class_condition": "オープン 牝", "race_conditions": "混,指,定量", "condition_raw": "障害3歳以上 オープン （混合） 牝 ［指定］ 定量", "n_runners": 2, "surface": "jump", "weather": "雨", "going_dirt": "不良",
+        "distance_m": 1800, "direction": "right", "course_detail": "外", "winner_umaban": 8, "winner_waku": 5, "winner_name": "勝 馬", "winner_last_3f": 37.5, "winner_corner": "2-1",
+    }
+    assert (second["grade"], second["surface"], second["direction"], second["course_detail"]) == ("L", "turf", "left", None)
+    assert [(x["race_id"][-2:], x["seq"], x["distance_m"]) for x in out["laps"]] == [("01", 1, 200), ("01", 2, 400), ("02", 1, 200), ("02", 2, 400)]
+    assert [w["race_id"][-2:] for w in out["warnings"]] == ["01"]  # two laps are not 1,800 m
+    other = found("meeting_results", _unit(1, RAN, "不明", "2歳", "x"), **{**where, "day": 5, "date": "2026-09-19"})
+    assert len(other["warnings"]) == 4 and "laps" not in other
+    assert found("meeting_results", _unit(4, RAN, laps="", category="障害"), **where).keys() == {"official_races"}
+    with pytest.raises(LayoutError):
+        found("meeting_results", "<p>other</p>", **where)
