@@ -66,7 +66,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
 
     Returns ``node, component``. Edges are first contracted within each task's
     chunks. Nulls and self loops are ignored; repeated
-    edges count once. Each round rewires every node to the smallest node it
+    edges count once. No more edges than one chunk holds are contracted as
+    that chunk, which ends the search. Else each round rewires every node to the smallest node it
     sees, first among all neighbours above it (large star), then among those
     below it (small star); the edges shrink to one star for each component.
     The node minima are written before they are joined, so that the join has
@@ -80,6 +81,9 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     if not seen[0]:
         return current.select(F.col("a").alias("node"), F.col("b").alias("component"))
     for _ in range(MAX_ROUNDS):
+        if seen[0] < CHUNK:
+            current = cut(_contracted(current.coalesce(1)))
+            break
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = cut(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m")))
         large = (

@@ -65,7 +65,10 @@ def test_metrics(spark):
     assert [r[0] for r in spark.createDataFrame([(0.0,), (0.5,), (1.0,)], "p double").select(metrics.grade(F.col("p"))).collect()] == [1, 5, 9]
 
 
-def test_components_in_any_order(spark):
+@pytest.mark.parametrize("chunk", [1, components.CHUNK])
+def test_components_in_any_order(spark, monkeypatch, chunk):
+    # With a chunk of one edge there is no end but that of the rounds.
+    monkeypatch.setattr(components, "CHUNK", chunk)
     rng = random.Random(2)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(500 + i, 501 + i) for i in range(40)]
     first = rows(components.connected_components(spark.createDataFrame(edges, "src long, dst long")))
