@@ -25,18 +25,26 @@ def field_denominators(lead: DataFrame, keys: list[str], amount: str = "per_unit
     return rows.groupBy(*keys).agg(F.median(F.col(amount) / F.col(index)).alias(name))
 
 
+def _sums(columns: list[str]) -> list[Column]:
+    return [F.sum(F.coalesce(F.col(c), F.lit(0))).alias(c) for c in columns]
+
+
 def totals(lead: DataFrame, entity: str, sums: list[str]) -> DataFrame:
     """Sums over years, null counting as 0."""
-    return lead.groupBy(entity).agg(*[F.sum(F.coalesce(F.col(c), F.lit(0))).alias(c) for c in sums])
+    return lead.groupBy(entity).agg(*_sums(sums))
 
 
-def weighted_index(lead: DataFrame, denominators: DataFrame, entity: str, year: str, units: str = "n", amount: str = "amount", name: str = "aei") -> DataFrame:
-    """Amount per unit over all years, by the denominators' average weighted by units; years without a denominator have no weight."""
-    rows = lead.join(denominators, year, "left")
+def _weighted(units: str, amount: str) -> Column:
+    """The index of an entity's rows, joined to the denominators ``d`` of their years."""
     weight = F.sum(F.when(F.col("d") != 0, F.col(units)))
     average = F.sum(F.coalesce("d", F.lit(0.0)) * F.col(units)) / F.nullif(weight, F.lit(0))
     own = F.sum(amount).cast("double") / F.nullif(F.sum(units), F.lit(0))
-    return rows.groupBy(entity).agg((own / F.nullif(average, F.lit(0.0))).alias(name))
+    return own / F.nullif(average, F.lit(0.0))
+
+
+def weighted_index(lead: DataFrame, denominators: DataFrame, entity: str, year: str, units: str = "n", amount: str = "amount", name: str = "aei") -> DataFrame:
+    """Amount per unit over all years, by the denominators' average weighted by units; years without a denominator have no weight."""
+    return lead.join(denominators, year, "left").groupBy(entity).agg(_weighted(units, amount).alias(name))
 
 
 #: Buckets that the values of a group are ranked in.
@@ -81,9 +89,9 @@ METRICS = ("win_rate", "starts_per_unit", "amount_per_unit", "aei", "units")
 
 
 def entity_totals(lead: DataFrame, denominators: DataFrame, entity: str, year: str) -> DataFrame:
-    """``n, n_win, n_starts, amount`` and the metrics of each entity."""
-    sums = totals(lead, entity, ["n", "n_win", "n_starts", "amount"])
-    out = sums.join(weighted_index(lead, denominators, entity, year), entity)
+    """``n, n_win, n_starts, amount`` and the metrics of each entity, from one aggregation; rows without an entity are no entity's."""
+    rows = lead.where(F.col(entity).isNotNull()).join(denominators, year, "left")
+    out = rows.groupBy(entity).agg(*_sums(["n", "n_win", "n_starts", "amount"]), _weighted("n", "amount").alias("aei"))
     return out.withColumns({
         "win_rate": ratio(F.col("n_win"), F.col("n_starts")),
         "starts_per_unit": ratio(F.col("n_starts"), F.col("n")),
