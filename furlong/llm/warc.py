@@ -133,7 +133,8 @@ def decide(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: s
     )
     rows = rows.withColumns({"equal": F.sha2("payload", 256), "digest": F.sha1("payload"), "size": F.length("payload").cast("long")})
     first = rows.where(F.col("size") >= min_bytes).groupBy("equal").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").select(F.col("equal").alias("same"), "first_id")
-    joined = rows.join(first, F.col("equal") == F.col("same"), "left")
+    # Always by merge: which join adaptive execution chose would depend on which side was done first, and with it the rows of each task.
+    joined = rows.join(first.hint("merge"), F.col("equal") == F.col("same"), "left")
     joined = joined.withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id")))
     return joined.withColumn("payload", F.when(F.col("refers_to").isNull(), F.col("payload"))).select("page_id", "url", "ts", "payload", "digest", "size", "refers_to")
 
