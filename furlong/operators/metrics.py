@@ -34,10 +34,16 @@ def totals(lead: DataFrame, entity: str, sums: list[str]) -> DataFrame:
     return lead.groupBy(entity).agg(*_sums(sums))
 
 
+def _steady_sum(term: Column) -> Column:
+    """The sum of doubles by size, so that equal terms give equal sums in whatever order their rows come; for few terms a group."""
+    terms = F.sort_array(F.collect_list(term))
+    return F.when(F.size(terms) > 0, F.aggregate(terms, F.lit(0.0), lambda total, x: total + x))
+
+
 def _weighted(units: str, amount: str) -> Column:
-    """The index of an entity's rows, joined to the denominators ``d`` of their years."""
+    """The index of an entity's rows, one a year, joined to the denominators ``d`` of their years; entities with equal rows tie."""
     weight = F.sum(F.when(F.col("d") != 0, F.col(units)))
-    average = F.sum(F.coalesce("d", F.lit(0.0)) * F.col(units)) / F.nullif(weight, F.lit(0))
+    average = _steady_sum(F.coalesce("d", F.lit(0.0)) * F.col(units)) / F.nullif(weight, F.lit(0))
     own = F.sum(amount).cast("double") / F.nullif(F.sum(units), F.lit(0))
     return own / F.nullif(average, F.lit(0.0))
 

@@ -3,7 +3,7 @@
 import zlib
 
 import pytest
-from furlong.operators import coverage, match, resolve
+from furlong.operators import coverage, match, metrics, resolve
 from furlong.queries import QUERIES
 from pyspark.sql import functions as F
 
@@ -117,3 +117,11 @@ def test_capped_prefix_is_the_operator(run, monkeypatch):
     names = [(f"Customer#{i:09d}",) for i in range(450)]
     assert sum(n for _, n in run("capped_prefix", customer=(names, "c_name string"))) == 450
     assert asked == [("c_name", 200, 12, 16, 2)]
+
+
+def test_equal_rows_tie_in_any_order(spark):
+    years = [(1, 0.1), (2, 0.2), (3, 0.3)]
+    rows = [("a", y) for y, _ in years] + [("b", y) for y, _ in reversed(years)]
+    lead = spark.createDataFrame([(e, y, 1, 5) for e, y in rows], "entity string, yr int, n long, amount long").coalesce(1)
+    found = metrics.weighted_index(lead, spark.createDataFrame(years, "yr int, d double"), "entity", "yr").collect()
+    assert len(found) == 2 and len({r["aei"] for r in found}) == 1
