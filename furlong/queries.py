@@ -430,6 +430,11 @@ def _lead(t: Tables) -> tuple[DataFrame, DataFrame]:
     return lead, metrics.field_denominators(lead, ["yr"])
 
 
+def _six(column: str):
+    """Six decimals as the SQL rounds a double: the millionfold, itself a double, to the nearest whole number."""
+    return (F.round(F.col(column) * 1e6) / 1e6).alias(column)
+
+
 @query(f"WITH {BASE} SELECT yr, round(d, 4) AS d FROM den")
 def ratio_median(t: Tables) -> DataFrame:
     return _lead(t)[1].select("yr", F.round("d", 4).alias("d"))
@@ -460,7 +465,7 @@ def midrank_grade(t: Tables) -> DataFrame:
     lead, denominators = _lead(t)
     rows = cut(metrics.entity_totals(lead, denominators, "entity", "yr").where("n >= 20").select("entity", "aei"))
     ranked = metrics.percentile_against(rows, "aei", rows, "aei")
-    return ranked.select("entity", F.round("aei", 6).alias("aei"), F.round("percentile", 6).alias("percentile"), metrics.grade(F.col("percentile")).alias("grade"))
+    return ranked.select("entity", _six("aei"), _six("percentile"), metrics.grade(F.col("percentile")).alias("grade"))
 
 
 @query(f"""WITH {BASE}, {TOTALS}, {FIELDS},
@@ -472,7 +477,7 @@ def entity_metrics_long(t: Tables) -> DataFrame:
     lead, denominators = _lead(t)
     rows = cut(metrics.entity_totals(lead, denominators, "entity", "yr"))
     out = metrics.metrics_long(rows, metrics.field_values(lead, denominators, rows, "yr"), "entity")
-    return out.select("entity", "metric", *[F.round(c, 6).alias(c) for c in ("value", "ratio_to_field", "percentile")], "grade")
+    return out.select("entity", "metric", *[_six(c) for c in ("value", "ratio_to_field", "percentile")], "grade")
 
 
 # scalars

@@ -1,10 +1,12 @@
 """Queries over whole tables, each against a plain version on a small fixture."""
 
+import datetime
 import zlib
 
+import duckdb
 import pytest
 from furlong.operators import coverage, match, metrics, resolve
-from furlong.queries import QUERIES
+from furlong.queries import ORACLES, QUERIES
 from pyspark.sql import functions as F
 
 
@@ -125,3 +127,14 @@ def test_equal_rows_tie_in_any_order(spark):
     lead = spark.createDataFrame([(e, y, 1, 5) for e, y in rows], "entity string, yr int, n long, amount long").coalesce(1)
     found = metrics.weighted_index(lead, spark.createDataFrame(years, "yr int, d double"), "entity", "yr").collect()
     assert len(found) == 2 and len({r["aei"] for r in found}) == 1
+
+
+@pytest.mark.parametrize("name", ["entity_metrics_long", "midrank_grade"])
+def test_metrics_are_rounded_as_their_sql_rounds(run, tmp_path, name):
+    # 641 starts in 640 orders are 1.0015625, of which the millionfold is a double below its half.
+    shape = [(1, k, 1.0 + k % 7) for k in range(640)] + [(1, 0, 2.5)] + [(2, 1_000 + k, 3.0) for k in range(30)]
+    rows = [(s, o, p, "R" if o % 4 else "N", datetime.datetime(1995, 3, 1)) for s, o, p in shape]
+    found = run(name, lineitem=(rows, "l_suppkey long, l_orderkey long, l_extendedprice double, l_returnflag string, l_shipdate timestamp"))
+    plain = duckdb.connect()
+    plain.execute(f"create view lineitem as from read_parquet('{tmp_path}/lineitem.parquet/*.parquet')")
+    assert sorted(found) == sorted(plain.execute(ORACLES[name]).fetchall())
