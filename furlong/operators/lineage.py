@@ -30,7 +30,8 @@ def subtree_index(trees: DataFrame) -> DataFrame:
     # Each cell meets those on its way by their paths; two cells of a tree that merely share the id are no pair.
     starts = F.transform(F.sequence(F.lit(1), F.length("path") - 1), lambda k: F.substring("path", F.lit(1), k))
     a, b = trees.alias("a"), trees.where(F.length("path") > 1).select("*", F.explode(starts).alias("start")).alias("b")
-    pairs = a.join(b, (F.col("a.id") == F.col("b.id")) & (F.col("a.path") == F.col("b.start")))
+    # The planner does not see how many rows the steps are, and would send them all to the driver for a broadcast.
+    pairs = a.join(b.hint("merge"), (F.col("a.id") == F.col("b.id")) & (F.col("a.path") == F.col("b.start")))
     above = pairs.select(F.col("a.ancestor").alias("root"), path_tail(F.col("b.path"), F.col("a.path")).alias("path"), F.col("b.ancestor").alias("ancestor"), F.lit(1).alias("rank"), F.col("a.id").alias("seen_in"), F.col("a.path").alias("at"))
     own = trees.select(F.col("id").alias("root"), "path", "ancestor", F.lit(0).alias("rank"), F.col("id").alias("seen_in"), F.lit("").alias("at"))
     first = F.min_by("ancestor", F.struct("rank", "seen_in", "at", "ancestor"))

@@ -1,6 +1,7 @@
 """Queries over whole tables, each against a plain version on a small fixture."""
 
 import datetime
+import re
 import zlib
 
 import duckdb
@@ -138,3 +139,9 @@ def test_metrics_are_rounded_as_their_sql_rounds(run, tmp_path, name):
     plain = duckdb.connect()
     plain.execute(f"create view lineitem as from read_parquet('{tmp_path}/lineitem.parquet/*.parquet')")
     assert sorted(found) == sorted(plain.execute(ORACLES[name]).fetchall())
+
+
+def test_subtree_index_broadcasts_no_steps(spark, run, tmp_path):
+    assert run("subtree_index", part=([(k,) for k in range(1, 8)], "p_partkey long"))
+    plan = QUERIES["subtree_index"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin \[id#\d+L, path#\d+\], \[id#\d+L, start#\d+\]", plan)
