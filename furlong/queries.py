@@ -649,12 +649,21 @@ def subtree_index(t: Tables) -> DataFrame:
 
 
 def _graft(t: Tables, celled: str = "id % 3 <> 0") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(trees, cells, names) of registration numbers made from the tree of all part keys, with holes. A tree shows three generations."""
-    key = lambda c: F.when(F.col(c) < 1_000_000, F.lpad(F.col(c).cast("string"), 6, "0")).otherwise(F.raise_error(F.lit("an id has room for six digits of a part key")))
-    name = lambda c: F.concat((F.lit(2020) - 4 * _depth(c)).cast("string"), key(c))
-    tree = _tree(t, generations=3).select("id", name("id").alias("horse"), "path", name("ancestor").alias("ancestor"), F.col("ancestor").alias("node"))
+    """(trees, cells, names) of registration numbers made from the tree of all part keys, with holes. A tree shows three generations.
+
+    An id is a year and the last six digits of a key. Four years for each generation
+    and one for each million of keys: both grow with the key, so ids are distinct and
+    parents at least four years older, as far as years have four digits.
+    """
+    millions = lambda c: F.expr(f"{c} div 1000000")
+    year = lambda c: F.lit(2020) - 4 * _depth(c) - millions(c)
+    key = lambda c: F.lpad((F.col(c) - millions(c) * 1_000_000).cast("string"), 6, "0")
+    name = lambda c: F.when(year(c) >= 0, F.concat(F.lpad(year(c).cast("string"), 4, "0"), key(c))).otherwise(F.raise_error(F.lit("an id has room for part keys below 1,901,000,000")))
+    padded = lambda c: F.lpad(F.col(c).cast("string"), F.greatest(F.lit(7), F.length(F.col(c).cast("string"))), "0")
+    # Written once: it is read many times, and the planner takes what comes of a small file for small, to be broadcast.
+    tree = cut(_tree(t, generations=3).select("id", name("id").alias("horse"), "path", name("ancestor").alias("ancestor"), F.col("ancestor").alias("node")))
     trees = tree.where("id % 3 = 0").select(F.col("horse").alias("id"), "path", "ancestor")
-    cells = tree.where(f"{celled} and length(path) <= 2 and node % 5 <> 0").select(F.col("horse").alias("id"), "path", F.concat(F.lit("112"), F.lpad(F.col("node").cast("string"), 7, "0")).alias("breed_no"), F.concat(F.lit("N"), F.col("node").cast("string")).alias("name"))
+    cells = tree.where(f"{celled} and length(path) <= 2 and node % 5 <> 0").select(F.col("horse").alias("id"), "path", F.concat(F.lit("112"), padded("node")).alias("breed_no"), F.concat(F.lit("N"), F.col("node").cast("string")).alias("name"))
     known = tree.where("node % 2 = 0").select(F.concat(F.lit("N"), F.col("node").cast("string")).alias("name"), F.col("ancestor").alias("id"), F.when(F.col("path").endswith("m"), "牝").otherwise("牡").alias("sex")).distinct()
     return trees, cells, known
 

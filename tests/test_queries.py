@@ -145,3 +145,21 @@ def test_subtree_index_broadcasts_no_steps(spark, run, tmp_path):
     assert run("subtree_index", part=([(k,) for k in range(1, 8)], "p_partkey long"))
     plan = QUERIES["subtree_index"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"SortMergeJoin \[id#\d+L, path#\d+\], \[id#\d+L, start#\d+\]", plan)
+
+
+@pytest.mark.parametrize("name", ["graft_fixpoint"])
+def test_lineages_of_keys_beyond_six_digits(run, name):
+    below = [*range(1, 64), *range(499_990, 500_010), *range(540_000, 540_030), *range(1_048_560, 1_048_580), *range(2_000_000, 2_000_012)]
+    keys = {k << g | i for k in below for g in range(4) for i in range(1 << g)}
+    key_of = {f"{2020 - 4 * (k.bit_length() - 1) - k // 1_000_000:04d}{k % 1_000_000:06d}": k for k in keys}
+    assert len(key_of) == len(keys) and max(keys) > 10_000_000
+    found = run(name, part=([(k,) for k in sorted(keys)], "p_partkey long"))
+    if name == "holdout_agreement":
+        assert found[0][0] > 0 and found[0][1] == found[0][2] > 0
+        return
+    for horse, path, ancestor, _ in found:
+        k = key_of[horse]
+        for step in path:
+            k = 2 * k + (step == "m")
+        assert k == (int(ancestor[6:]) if ancestor.startswith("jv:") else key_of[ancestor])
+    assert {key_of[r[0]] for r in found} >= {k for k in below if k % 3 and k > 500_000}
