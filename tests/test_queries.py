@@ -147,7 +147,7 @@ def test_subtree_index_broadcasts_no_steps(spark, run, tmp_path):
     assert re.search(r"SortMergeJoin \[id#\d+L, path#\d+\], \[id#\d+L, start#\d+\]", plan)
 
 
-@pytest.mark.parametrize("name", ["graft_fixpoint"])
+@pytest.mark.parametrize("name", ["graft_fixpoint", "holdout_agreement"])
 def test_lineages_of_keys_beyond_six_digits(run, name):
     below = [*range(1, 64), *range(499_990, 500_010), *range(540_000, 540_030), *range(1_048_560, 1_048_580), *range(2_000_000, 2_000_012)]
     keys = {k << g | i for k in below for g in range(4) for i in range(1 << g)}
