@@ -9,12 +9,12 @@ pair is counted in the first block that brings it, so no list of pairs is made o
 made distinct: each task sends numbers of links and edges that connect what it
 found linked.
 
-The range join of a block cuts its first coordinates into cells two radii wide. A
-vector has one home cell and is also sent to the other cells that its radius
-reaches; a cell compares its home vectors with all it holds. How many coordinates
-are cut follows from the number of vectors. A crowded cell is split into parts by a
-hash, and each two parts meet in a task of their own, so a task holds two parts of
-a cell at most, whatever the cell's size.
+The vectors lie in files of bounded size in the shared folder, written once. Each
+two files meet in one place, block by block, and the task reads them there; so a
+task holds two files, and what is on disk grows with the vectors alone. The work
+grows with the square of the number of distinct vectors. ``deal`` is the other way
+to bring a block's vectors together, by cells of its first coordinates that are
+shuffled; the query does not use it, for it sends a vector once for each task.
 
 Equal vectors are joined once, with their number. Defined cases: vectors that are
 null, empty, all zero or hold null or non-finite components link with nothing;
@@ -25,16 +25,19 @@ share an id are one node, and each counts as a vector; labels are not read.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from furlong.llm.common import bound_batches, long_id, map_rows
+from furlong.llm.storage import Writer, reader, remove_folder
 from furlong.operators.components import connected_components, forest
-from furlong.session import cut
+from furlong.session import cut, shared_folder
 
 COSINE = 0.95
 BLOCK_DIMS = 16
@@ -68,7 +71,8 @@ def distinct_vectors(vectors: DataFrame, vec_id: str, embedding: str) -> tuple[D
     v = F.col(embedding).cast("array<double>")
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     good = F.col(vec_id).isNotNull() & (F.size(v) > 0) & ~F.exists(v, bad) & F.exists(v, lambda x: x != 0)
-    rows = vectors.select(long_id(vectors, vec_id).alias("vec_id"), F.when(good, F.col(embedding)).alias("v"))
+    plain = F.transform(embedding, lambda x: F.when(x == 0, F.abs(x)).otherwise(x))
+    rows = vectors.select(long_id(vectors, vec_id).alias("vec_id"), F.when(good, plain).alias("v"))
     return rows, rows.where("v is not null").groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
 
 
@@ -271,25 +275,102 @@ def deal(distinct: DataFrame, cosine: float, block_dims: int, cuts: int, cell: i
     return distinct.mapInArrow(_deal(cosine, block_dims, cuts, shared, True), "cell long, part long, role byte, rep long, copies long, v array<double>, t array<float>")
 
 
+def _store(folder: str, cell: int):
+    """Write files of at most ``cell`` distinct vectors of one length, with their turned ones; rows ``rep, copies, h, file, dims``."""
+
+    def saved(table: pa.Table, dims: int):
+        for at in range(0, table.num_rows, cell):
+            part = table.slice(at, cell).combine_chunks()
+            t = turned(_matrix(part.column("v")).astype(np.float64))
+            part = part.append_column("t", pa.FixedSizeListArray.from_arrays(pa.array(t.reshape(-1)), dims))
+            uri = f"{folder}/{uuid.uuid4().hex}.arrow"
+            with Writer(uri) as out, pa.ipc.new_stream(pa.PythonFile(out.stream, "w"), part.schema) as stream:
+                stream.write_table(part)
+            n = part.num_rows
+            yield from pa.table({"rep": part.column("rep"), "copies": part.column("copies"), "h": part.column("h"), "file": [uri] * n, "dims": pa.array([dims] * n, pa.int32())}).to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+        counts: dict[int, int] = {}
+        for batch in batches:
+            sizes = np.asarray(batch.column("v").value_lengths())
+            for dims in np.unique(sizes).tolist():
+                held.setdefault(dims, []).append(batch.filter(pa.array(sizes == dims)))
+                counts[dims] = counts.get(dims, 0) + held[dims][-1].num_rows
+                if counts[dims] >= cell:
+                    yield from saved(pa.Table.from_batches(held.pop(dims)), dims)
+                    del counts[dims]
+        for dims, some in held.items():
+            yield from saved(pa.Table.from_batches(some), dims)
+
+    return run
+
+
+def _meet(files: list[tuple[str, int]], cosine: float, block_dims: int):
+    """Rows ``a, b, n`` as of ``_join`` for rows ``i, j`` that name two files, each read where it is needed."""
+    joined = _join(cosine, block_dims)
+
+    def load(at: int) -> pa.Table:
+        file, _ = reader(files[at][0])
+        with file:
+            table = pa.ipc.open_stream(file).read_all().select(["rep", "copies", "v", "t"])
+        # The verification is in double precision.
+        return table.set_column(2, "v", table.column("v").cast(pa.list_(pa.float64())))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, home = None, None
+        for batch in batches:
+            for i, j in zip(batch.column("i").to_pylist(), batch.column("j").to_pylist(), strict=True):
+                if last != i:
+                    last, home = i, load(i)
+                both = home if i == j else pa.concat_tables([home, load(j)])
+                n = both.num_rows
+                role = np.full(n, GUEST, np.int8)
+                role[: home.num_rows] = WITHIN if i == j else HOME
+                for number in range(len(blocks_of(files[i][1], block_dims))):
+                    names = {"cell": np.full(n, number), "part": np.zeros(n, np.int64), "role": role, "block": np.full(n, number)}
+                    table = both
+                    for name, values in names.items():
+                        table = table.append_column(name, pa.array(values))
+                    yield from joined(iter(table.combine_chunks().to_batches()))
+
+    return run
+
+
+def _met(files: list[tuple[str, int]], spark, cosine: float, block_dims: int) -> DataFrame:
+    """``a, b, n`` of each two files of vectors of one length, and of each file with itself."""
+    k, parts = len(files), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # File i meets the half of the files behind it, in a ring, so that all have equally many to meet.
+    half = k // 2 + 1
+    dims = F.array(*[F.lit(d) for _, d in files])
+    pairs = spark.range(0, k * half, numPartitions=max(1, min(k * half, max(k, 4 * parts))))
+    pairs = pairs.select(F.expr(f"id div {half}").alias("i"), F.expr(f"id % {half}").alias("d")).withColumn("j", (F.col("i") + F.col("d")) % k)
+    pairs = pairs.where((F.col("d") * 2 < k) | (F.col("i") < F.col("j"))).where(F.get(dims, F.col("i")) == F.get(dims, F.col("j"))).select("i", "j")
+    found = pairs.mapInArrow(_meet(files, cosine, block_dims), "a long, b long, n long")
+    return found.groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+
 def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", cosine: float = COSINE, block_dims: int = BLOCK_DIMS, cell: int = CELL) -> DataFrame:
-    """``vec_id, n_links, component_id, kept`` of every row; a task holds about ``2 * cell`` vectors at most."""
+    """``vec_id, n_links, component_id, kept`` of every row; a task holds ``2 * cell`` distinct vectors at most."""
     spark = vectors.sparkSession
     bound_batches(spark)
     rows, distinct = distinct_vectors(vectors, vec_id, embedding)
-    distinct = cut(with_turned(distinct))
-    n = distinct.count()
-    # A cut leaves about six tenths of the vectors in reach of a cell.
-    cuts = max(0, min(3, math.ceil(math.log(max(n, 1) / cell) / math.log(1 / 0.6)))) if n > cell else 0
-    dealt = deal(distinct, cosine, block_dims, cuts, cell)
-    dealt = dealt.withColumn("block", F.floor(F.floor(F.col("cell") / F.lit(128**cuts)) / F.lit(65_536)))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = cut(dealt.repartition(parts, "cell", "part").sortWithinPartitions("cell", "part").mapInArrow(_join(cosine, block_dims), "a long, b long, n long"))
+    digest = F.md5(F.col("v").cast("string"))
+    distinct = distinct.withColumn("h", digest)
+    if distinct.schema["v"].dataType.elementType != T.FloatType():
+        distinct = distinct.withColumn("v", F.col("v").cast("array<double>"))
+    # Vectors lie in files that tasks read in pairs, so that none is sent once for each task; what is joined is a digest.
+    folder = shared_folder(spark, "vectors")
+    distinct = cut(distinct.mapInArrow(_store(folder, cell), "rep long, copies long, h string, file string, dims int"))
+    files = sorted((r["file"], r["dims"]) for r in distinct.select("file", "dims").distinct().collect())
+    found = cut(_met(files, spark, cosine, block_dims) if files else spark.createDataFrame([], "a long, b long, n long"))
+    remove_folder(folder)
     components = connected_components(found.where("b is not null").select(F.col("a").alias("src"), F.col("b").alias("dst")))
     links = found.where("b is null").groupBy("a").agg(F.sum("n").alias("n"))
     reps = distinct.select("rep", "copies").distinct().groupBy("rep").agg(F.sum("copies").alias("copies"))
     known = reps.join(links, reps["rep"] == links["a"], "left").join(components, reps["rep"] == components["node"], "left")
     known = known.select("rep", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("component", "rep").alias("component"))
-    own = rows.join(distinct.select("v", "rep").withColumnRenamed("v", "w"), F.col("v").cast("array<double>") == F.col("w"), "left").select("vec_id", "rep")
+    own = rows.select("vec_id", digest.alias("h")).join(distinct.select("h", "rep"), "h", "left").select("vec_id", "rep")
     own = own.withColumnRenamed("rep", "r")
     out = own.join(known, own["r"] == known["rep"], "left")
     return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").cast("long").alias("component_id"), F.coalesce(F.col("vec_id") == F.coalesce("component", "vec_id"), F.lit(False)).alias("kept"))

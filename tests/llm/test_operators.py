@@ -390,6 +390,16 @@ def test_no_task_holds_more_than_two_parts_of_a_cell(spark, n):
     assert held[0] <= 2 * 100 * 1.5 and held[1] > 16
 
 
+def test_vectors_are_not_sent_to_each_task(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "deal", None)
+    # With the first two, a cosine that single precision cannot tell from 0.95.
+    side = float(np.sqrt(1 - 0.95**2))
+    vectors = [[1.0, 0.0], [0.95 + 1e-9, side], [0.95 - 1e-9, -side], [-0.0, -1.0], [0.0, -1.0]]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = rows(embeddings.near_duplicates(df, cell=1, block_dims=1), "vec_id", "n_links", "component_id")
+    assert found == [(0, 1, 0), (1, 1, 0), (2, 0, 2), (3, 1, 3), (4, 1, 3)]
+
+
 # 7
 
 
