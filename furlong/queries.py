@@ -634,7 +634,7 @@ def _tree(t: Tables, generations: int | None = None) -> DataFrame:
     top = _depth("ancestor") if generations is None else F.least(_depth("ancestor"), F.lit(generations))
     steps = own.where("ancestor > 1").select("ancestor", F.explode(F.sequence(F.lit(1), top)).alias("g")).withColumn("id", F.expr("shiftright(ancestor, g)"))
     up = steps.select("id", ids.lineage_path(F.col("g"), F.expr("ancestor - shiftleft(id, g)")).alias("path"), "ancestor")
-    return up.join(own.select(F.col("ancestor").alias("id")), "id", "left_semi").select("id", "path", "ancestor")
+    return up.join(own.select(F.col("ancestor").alias("id")).hint("merge"), "id", "left_semi").select("id", "path", "ancestor")
 
 
 @query(f"WITH {TREE} SELECT id, path, ancestor FROM paths")
@@ -648,24 +648,46 @@ def subtree_index(t: Tables) -> DataFrame:
     return lineage.subtree_index(_tree(t))
 
 
+#: The largest part key that an id itself can show: the year of a larger one would be negative.
+KEYED = 1_900_999_999
+
+
+def _ranks(keys: DataFrame) -> DataFrame:
+    """``key, rank``: each distinct key's place among all, from 0; ranges of keys are ranked apart, each beginning where those before it end."""
+    ranged = cut(keys.distinct().repartitionByRange("key").withColumn("range", F.spark_partition_id()))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("range").agg(F.count("*").alias("n")).select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    place = F.row_number().over(Window.partitionBy("range").orderBy("key"))
+    return ranged.withColumn("place", place).join(F.broadcast(sizes), "range").select("key", (F.col("before") + F.col("place") - 1).alias("rank"))
+
+
 def _graft(t: Tables, celled: str = "id % 3 <> 0") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(trees, cells, names) of registration numbers made from the tree of all part keys, with holes. A tree shows three generations.
 
-    An id is a year and the last six digits of a key. Four years for each generation
-    and one for each million of keys: both grow with the key, so ids are distinct and
-    parents at least four years older, as far as years have four digits.
+    An id is a year and the last six digits of a number: of the key, or, where a key
+    exceeds ``KEYED``, of every key's rank. Four years for each generation and one for
+    each million: both grow with the key, so ids are distinct and parents at least
+    four years older. Ranks begin in 9999, for which ids have room up to 9.7 billion parts.
     """
-    millions = lambda c: F.expr(f"{c} div 1000000")
-    year = lambda c: F.lit(2020) - 4 * _depth(c) - millions(c)
-    key = lambda c: F.lpad((F.col(c) - millions(c) * 1_000_000).cast("string"), 6, "0")
-    name = lambda c: F.when(year(c) >= 0, F.concat(F.lpad(year(c).cast("string"), 4, "0"), key(c))).otherwise(F.raise_error(F.lit("an id has room for part keys below 1,901,000,000")))
+    keys = t.part.where("p_partkey >= 1").select(F.col("p_partkey").cast("long").alias("key"))
+    tree, first = _tree(t, generations=3), 2020
+    if (keys.agg(F.max("key")).first()[0] or 0) <= KEYED:
+        tree = tree.withColumns({"id_n": F.col("id"), "ancestor_n": F.col("ancestor")})
+    else:
+        first, ranks = 9999, cut(_ranks(keys))
+        for c in ("id", "ancestor"):
+            tree = tree.join(ranks.select(F.col("key").alias(c), F.col("rank").alias(f"{c}_n")).hint("merge"), c)
+    millions = lambda c: F.expr(f"{c}_n div 1000000")
+    year = lambda c: F.lit(first) - 4 * _depth(c) - millions(c)
+    digits = lambda c: F.lpad((F.col(f"{c}_n") - millions(c) * 1_000_000).cast("string"), 6, "0")
+    name = lambda c: F.when(year(c) >= 0, F.concat(F.lpad(year(c).cast("string"), 4, "0"), digits(c))).otherwise(F.raise_error(F.lit("more parts than ids of ten digits")))
     padded = lambda c: F.lpad(F.col(c).cast("string"), F.greatest(F.lit(7), F.length(F.col(c).cast("string"))), "0")
-    # Written once: it is read many times, and the planner takes what comes of a small file for small, to be broadcast.
-    tree = cut(_tree(t, generations=3).select("id", name("id").alias("horse"), "path", name("ancestor").alias("ancestor"), F.col("ancestor").alias("node")))
+    # Written once: it is read many times.
+    tree = cut(tree.select("id", name("id").alias("horse"), "path", name("ancestor").alias("ancestor"), F.col("ancestor").alias("node")))
     trees = tree.where("id % 3 = 0").select(F.col("horse").alias("id"), "path", "ancestor")
     cells = tree.where(f"{celled} and length(path) <= 2 and node % 5 <> 0").select(F.col("horse").alias("id"), "path", F.concat(F.lit("112"), padded("node")).alias("breed_no"), F.concat(F.lit("N"), F.col("node").cast("string")).alias("name"))
     known = tree.where("node % 2 = 0").select(F.concat(F.lit("N"), F.col("node").cast("string")).alias("name"), F.col("ancestor").alias("id"), F.when(F.col("path").endswith("m"), "牝").otherwise("牡").alias("sex")).distinct()
-    return trees, cells, known
+    return trees, cells, cut(known)
 
 
 @query()
