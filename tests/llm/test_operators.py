@@ -491,6 +491,30 @@ def test_ids_are_those_of_whole_texts(tokenizer):
     assert not other.by_piece and np.frombuffer(other.encode([b"A cased  Text"])[0], "<u4").tolist() == other.tokenizer.encode("A cased  Text", add_special_tokens=False).ids
 
 
+def test_words_before_punctuation_are_learned_without_a_call_each(tokenizer, monkeypatch):
+    own, calls = token_output.Encoder(), []
+    ask = own._one_by_one
+    monkeypatch.setattr(own, "_one_by_one", lambda texts: calls.extend(texts) or ask(texts))
+    rng = random.Random(9)
+    texts = [" ".join("".join(rng.choices("abe\u00e9\u00f1", k=6)) + rng.choice(["***", ",%%%", "!!", "."]) for _ in range(300)) for _ in range(5)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode([t.encode() for t in texts])] == [x.ids for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert len(calls) <= 4
+
+
+def test_ids_do_not_hang_on_chunks_and_memory(tokenizer, monkeypatch):
+    rng = random.Random(10)
+    parts = ["a", "Z", "\u0130", "\u0131", "\u00e9", "\u00c9", "\u00aa", "\u00d7", "\u0436", "\u03a3", "\u00b2", "\u00a0", "\u0338", "\t", "\x00", "\x7f", "\u65e5", *"  \n.,;'-_@#0123456789", "'s", "'LL", "don't", "a.b@c.org", "10.0.0.1", "<|endoftext|>", "<|"]
+    texts = [None, "", " ", "\n \n", *("".join(rng.choice(parts) for _ in range(rng.randrange(60))) for _ in range(1_500))]
+    expected = [x.ids for x in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    for chunk, memory, size in ((1, 500_000, 1 << 25), (100, 40, 1 << 25), (4 << 20, 500_000, 300)):
+        own = token_output.Encoder()
+        own.CHUNK = chunk
+        monkeypatch.setattr(token_output, "MEMORY", memory)
+        monkeypatch.setattr(token_output, "MEMORY_BYTES", size)
+        for _ in range(2):
+            assert [np.frombuffer(x, "<u4").tolist() for x in own.encode([None if t is None else t.encode() for t in texts])] == expected
+
+
 def test_ids_that_are_no_whole_numbers_are_refused(spark):
     docs = spark.createDataFrame([("a", "text", "p")], "doc_id string, text string, url string")
     for call in (lambda: token_output.report(docs), lambda: warc.report(docs, page_id="doc_id", html="text")):
